@@ -67,7 +67,7 @@ def fact_rows(silver: DataFrame, load_ts: datetime | None = None) -> DataFrame:
     ).withColumns(load_stamp(load_ts))
 
 
-def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE) -> DataFrame:
+def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE, small: bool = False) -> DataFrame:
     """Fact rows with the three dimension ids; a row without a match in any dimension is left out.
 
     ``grain="line"`` matches on the natural key alone, against line-grain
@@ -75,6 +75,8 @@ def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE) -> Dat
     key and attribute values, against key-grain dimensions: each line finds at
     most one row per dimension, however often its key repeats. Every join has
     exchanges of its own there, so adaptive execution can split a hot key.
+    ``small`` says that ``facts`` are few enough to broadcast: the dimensions are
+    then scanned but not shuffled. Only the key grain keeps them few.
     """
     _checked(grain)
     joined = facts
@@ -83,7 +85,8 @@ def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE) -> Dat
         found = dims[dim.table.name].select(dim.id_col, *[F.col(c).alias(f"_{dim.id_col}_{c}") for c in matched_on])
         ours = [FACT_KEY, *matched_on[1:]]
         same = [F.col(a) == F.col(f"_{dim.id_col}_{c}") for a, c in zip(ours, matched_on)]
-        joined = joined.join(found, same, "inner")
+        left = F.broadcast(joined) if small and grain == KEY else joined
+        joined = left.join(found, same, "inner")
     return joined.select(*[c for c in INVOICE_FACT_TABLE.schema.names if c in joined.columns])
 
 

@@ -29,7 +29,9 @@ def sparse_ids(df: DataFrame, id_col: str, start: int = 0) -> DataFrame:
     """Unique ids from ``start`` on, with gaps. Narrow: no shuffle, no extra pass.
 
     Row number times stride plus partition number, so a load uses up id space by
-    its longest partition and not by its number of partitions.
+    its longest partition and not by its number of partitions. Number the rows
+    last, right before they are written: a task that runs again may number its
+    rows in another order, which only its own committed output shows then.
     """
     position = F.monotonically_increasing_id()
     part = F.shiftright(F.col(_POSITION), _ROW_BITS)
@@ -44,19 +46,29 @@ def sparse_ids(df: DataFrame, id_col: str, start: int = 0) -> DataFrame:
     )
 
 
-def dense_ids(df: DataFrame, id_col: str, order_by: Sequence[str] | None = None, start: int = 0) -> DataFrame:
+def dense_ids(
+    df: DataFrame,
+    id_col: str,
+    order_by: Sequence[str] | None = None,
+    start: int = 0,
+    rows_stored: bool = False,
+) -> DataFrame:
     """Consecutive ids from ``start`` on, in the order of ``order_by`` (default: all columns).
 
     Equals ``start - 1 + row_number()`` over the whole table without putting it
     into one task: range partitions are sorted on their own, and each one is
-    shifted by the rows before it. A position inside the input partition breaks
-    ties, so copies of one row spread over several range partitions; sorting
-    before numbering makes it the same when a task is run again. The sorted rows
-    are written once, because both passes have to see the same partitions.
+    shifted by the rows before it. The position in the scan breaks ties, so
+    copies of one row spread over several range partitions.
+
+    The rows are written before they are ranged, because ranging reads them twice
+    (once for a sample) and positions have to be the same when a task is run
+    again. ``rows_stored`` says that ``df`` is a narrow view of stored rows, which
+    saves this step. They are written again when sorted, because counting and
+    shifting have to see the same partitions.
     """
     order = list(order_by or df.columns)
     ordered = (
-        df.sortWithinPartitions(*order)
+        (df if rows_stored else materialize(df, "unnumbered"))
         .withColumn(_POSITION, F.monotonically_increasing_id())
         .repartitionByRange(*order, _POSITION)
         .sortWithinPartitions(*order, _POSITION)

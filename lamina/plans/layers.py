@@ -5,10 +5,9 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lamina.operators import cleaning
-from lamina.operators.incremental import new_rows
+from lamina.operators.incremental import is_small, new_rows
 from lamina.operators.star import DIMENSIONS, KEY, Dimension, dimension_rows, fact_rows, star
 from lamina.operators.surrogate import next_id, sparse_ids
 from lamina.schemas import (
@@ -18,56 +17,71 @@ from lamina.schemas import (
     INVOICE_FACT_TABLE,
     INVOICE_GOLD,
     INVOICE_SILVER,
+    LOAD_DATE,
     TABLES,
     Table,
 )
 from lamina.sources.tables import Load, Warehouse
 
 
-def load_bronze(wh: Warehouse, incoming: DataFrame) -> Load:
+def load_bronze(wh: Warehouse, incoming: DataFrame, small: bool = False) -> Load:
     """Append unseen invoices as they are; new columns are added to the table."""
-    return wh.append(INVOICE, new_rows(incoming, wh.scan(INVOICE), INVOICE.load_key), evolve=True)
+    unseen = new_rows(incoming, wh.scan(INVOICE), INVOICE.load_key, small)
+    return wh.append(INVOICE, unseen, evolve=True)
 
 
-def load_silver(wh: Warehouse, load_ts: datetime | None = None, bronze: DataFrame | None = None) -> list[Load]:
-    """Clean and route bronze; append the invoices each silver table does not have."""
-    typed = cleaning.silver_typed(wh.scan(INVOICE) if bronze is None else bronze, load_ts)
-    return [_append_unseen(wh, TABLES[name], rows) for name, rows in cleaning.route(typed).items()]
+def load_silver(wh: Warehouse, load_ts: datetime | None = None) -> list[Load]:
+    """Clean and route stored bronze; append the invoices each silver table does not have."""
+    routed = cleaning.route(cleaning.silver_typed(wh.scan(INVOICE), load_ts))
+    return [_append_unseen(wh, TABLES[name], rows, load_ts) for name, rows in routed.items()]
 
 
 def load_gold_invoices(
-    wh: Warehouse, load_ts: datetime | None = None, silver: dict[str, DataFrame] | None = None
+    wh: Warehouse,
+    load_ts: datetime | None = None,
+    silver: dict[str, DataFrame] | None = None,
+    small: bool = False,
 ) -> list[Load]:
     """Copy both silver tables to gold under a new load stamp."""
     silver = silver or _stored_silver(wh)
     targets = {INVOICE_SILVER.name: INVOICE_GOLD, INVOICE_CANCELLED_SILVER.name: INVOICE_CANCELLED_GOLD}
     return [
-        _append_unseen(wh, target, cleaning.gold_invoice(silver[source], load_ts))
+        _append_unseen(wh, target, cleaning.gold_invoice(silver[source], load_ts), load_ts, small)
         for source, target in targets.items()
     ]
 
 
 def load_dimension(
-    wh: Warehouse, dim: Dimension, silver: DataFrame, load_ts: datetime | None = None, grain: str = KEY
+    wh: Warehouse,
+    dim: Dimension,
+    silver: DataFrame,
+    load_ts: datetime | None = None,
+    grain: str = KEY,
+    small: bool = False,
 ) -> Load:
     stored = wh.scan(dim.table)
-    unseen = new_rows(dimension_rows(silver, dim, load_ts, grain), stored, dim.table.load_key)
-    return wh.append(dim.table, sparse_ids(unseen, dim.id_col, next_id(stored, dim.id_col)))
+    unseen = new_rows(dimension_rows(silver, dim, load_ts, grain), stored, dim.table.load_key, small)
+    return wh.append(dim.table, sparse_ids(unseen, dim.id_col, next_id(stored, dim.id_col)), load_ts)
 
 
 def load_fact(
-    wh: Warehouse, silver: DataFrame, load_ts: datetime | None = None, grain: str = KEY
+    wh: Warehouse,
+    silver: DataFrame,
+    load_ts: datetime | None = None,
+    grain: str = KEY,
+    small: bool = False,
 ) -> Load:
     """Unseen lines first, then the star: the joins only carry what will be stored.
 
     No final distinct: the ids make every row different, so it would shuffle
-    everything and remove nothing.
+    everything and remove nothing. Ids come last, so every stored row has its own.
     """
-    stored = wh.scan(INVOICE_FACT_TABLE)
-    unseen = new_rows(fact_rows(silver, load_ts), stored, INVOICE_FACT_TABLE.load_key)
-    numbered = sparse_ids(unseen, INVOICE_FACT_TABLE.primary_key, next_id(stored, INVOICE_FACT_TABLE.primary_key))
+    table = INVOICE_FACT_TABLE
+    stored = wh.scan(table)
+    unseen = new_rows(fact_rows(silver, load_ts), stored, table.load_key, small)
     dims = {dim.table.name: wh.scan(dim.table) for dim in DIMENSIONS}
-    return wh.append(INVOICE_FACT_TABLE, star(numbered, dims, grain))
+    rows = star(unseen, dims, grain, small)
+    return wh.append(table, sparse_ids(rows, table.primary_key, next_id(stored, table.primary_key)), load_ts)
 
 
 def load_gold(
@@ -75,13 +89,14 @@ def load_gold(
     load_ts: datetime | None = None,
     silver: dict[str, DataFrame] | None = None,
     grain: str = KEY,
+    small: bool = False,
 ) -> list[Load]:
     """Gold invoices, then the dimensions, then the fact that looks them up."""
     silver = silver or _stored_silver(wh)
-    loads = load_gold_invoices(wh, load_ts, silver)
+    loads = load_gold_invoices(wh, load_ts, silver, small)
     lines = silver[INVOICE_SILVER.name]
-    loads += [load_dimension(wh, dim, lines, load_ts, grain) for dim in DIMENSIONS]
-    return [*loads, load_fact(wh, lines, load_ts, grain)]
+    loads += [load_dimension(wh, dim, lines, load_ts, grain, small) for dim in DIMENSIONS]
+    return [*loads, load_fact(wh, lines, load_ts, grain, small)]
 
 
 def run_layers(
@@ -98,16 +113,17 @@ def run_increment(
     """The same run for one increment of new bronze rows.
 
     Every layer works on ``bronze`` instead of its whole stored input, so a run
-    costs the increment and one key column per target. ``bronze`` must not change
-    while this runs: pass a stored table. The bronze table comes last. Until it
-    has the invoices, an increment that was cut short is found new again, and the
-    other tables drop what they already have.
+    costs the increment and a scan of one key column per target; the targets are
+    not shuffled for an increment small enough to broadcast. ``bronze`` must not
+    change while this runs: pass a stored table. The bronze table comes last.
+    Until it has the invoices, an increment that was cut short is found new
+    again, and the other tables drop what they already have.
     """
-    load_ts = load_ts or datetime.now()
+    load_ts, small = load_ts or datetime.now(), is_small(bronze)
     silver = cleaning.route(cleaning.silver_typed(bronze, load_ts))
-    silver_loads = [_append_unseen(wh, TABLES[name], rows) for name, rows in silver.items()]
-    gold_loads = load_gold(wh, load_ts, silver, grain)
-    return [*silver_loads, *gold_loads, load_bronze(wh, bronze)]
+    silver_loads = [_append_unseen(wh, TABLES[name], rows, load_ts, small) for name, rows in silver.items()]
+    gold_loads = load_gold(wh, load_ts, silver, grain, small)
+    return [*silver_loads, *gold_loads, load_bronze(wh, bronze, small)]
 
 
 def resolved_facts(wh: Warehouse) -> DataFrame:
@@ -116,12 +132,14 @@ def resolved_facts(wh: Warehouse) -> DataFrame:
     for dim in DIMENSIONS:
         facts = facts.join(wh.scan(dim.table).select(dim.id_col, *dim.attributes), dim.id_col)
     attributes = [name for dim in DIMENSIONS for name in dim.attributes]
-    return facts.select(INVOICE_FACT_TABLE.load_key, *attributes, "QUANTITY", "UNITPRICE", F.col("FECHA_DE_CARGA"))
+    return facts.select(INVOICE_FACT_TABLE.load_key, *attributes, "QUANTITY", "UNITPRICE", LOAD_DATE)
 
 
 def _stored_silver(wh: Warehouse) -> dict[str, DataFrame]:
     return {t.name: wh.scan(t) for t in (INVOICE_SILVER, INVOICE_CANCELLED_SILVER)}
 
 
-def _append_unseen(wh: Warehouse, table: Table, rows: DataFrame) -> Load:
-    return wh.append(table, new_rows(rows, wh.scan(table), table.load_key))
+def _append_unseen(
+    wh: Warehouse, table: Table, rows: DataFrame, load_ts: datetime | None, small: bool = False
+) -> Load:
+    return wh.append(table, new_rows(rows, wh.scan(table), table.load_key, small), load_ts)

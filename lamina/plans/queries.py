@@ -203,18 +203,20 @@ _registry["natural_key"] = _registry.pop("natural_keys")
 def surrogate_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of the lines that are not stored go on after the ids of those that are."""
     facts = fact_rows(materialize(_silver(spark, folder), "silver"), STAMP).select(*INVOICE_ORDER, "FECHA_INVOICE")
-    stored = dense_ids(_stored(facts), "INVOICE_FACT_ID")
+    stored = dense_ids(_stored(facts), "INVOICE_FACT_ID", rows_stored=True)
     unseen = new_rows(facts, stored, FACT_KEY)
     return dense_ids(unseen, "INVOICE_FACT_ID", start=next_id(stored, "INVOICE_FACT_ID"))
 
 
-def _numbered(rows: DataFrame, dim: Dimension, start: int = 0) -> DataFrame:
-    return dense_ids(rows, dim.id_col, [DIMENSION_KEY, *dim.attributes], start).select(*dim.table.schema.names)
+def _numbered(rows: DataFrame, dim: Dimension, start: int = 0, rows_stored: bool = False) -> DataFrame:
+    ordered = dense_ids(rows, dim.id_col, [DIMENSION_KEY, *dim.attributes], start, rows_stored)
+    return ordered.select(*dim.table.schema.names)
 
 
 def _dimension(lines: DataFrame, dim: Dimension, grain: str = LINE) -> DataFrame:
+    """``dim`` with ids over stored ``lines``."""
     accepted, _ = quality.split_required(dimension_rows(lines, dim, STAMP, grain), dim.table.required)
-    return _numbered(accepted, dim)
+    return _numbered(accepted, dim, rows_stored=grain == LINE)
 
 
 def _unseen_dimension(lines: DataFrame, dim: Dimension) -> DataFrame:
@@ -225,17 +227,17 @@ def _unseen_dimension(lines: DataFrame, dim: Dimension) -> DataFrame:
 
 @query
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
-    return _dimension(_silver(spark, folder), DATE)
+    return _dimension(materialize(_silver(spark, folder), "silver"), DATE)
 
 
 @query
 def dim_country(spark: SparkSession, folder: str) -> DataFrame:
-    return _dimension(_silver(spark, folder), COUNTRY)
+    return _dimension(materialize(_silver(spark, folder), "silver"), COUNTRY)
 
 
 @query
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
-    return _dimension(_silver(spark, folder), PRODUCT)
+    return _dimension(materialize(_silver(spark, folder), "silver"), PRODUCT)
 
 
 @query
@@ -256,8 +258,8 @@ def incr_product_dim(spark: SparkSession, folder: str) -> DataFrame:
 # Facts
 
 
-def _numbered_facts(lines: DataFrame, start: int = 0) -> DataFrame:
-    return dense_ids(lines, INVOICE_FACT_TABLE.primary_key, INVOICE_ORDER, start)
+def _numbered_facts(lines: DataFrame, start: int = 0, rows_stored: bool = True) -> DataFrame:
+    return dense_ids(lines, INVOICE_FACT_TABLE.primary_key, INVOICE_ORDER, start, rows_stored)
 
 
 def _facts(spark: SparkSession, folder: str, grain: str) -> DataFrame:
@@ -286,7 +288,7 @@ def incr_fact(spark: SparkSession, folder: str) -> DataFrame:
     dims = {dim.table.name: _dimension(lines, dim) for dim in DIMENSIONS}
     stored = _numbered_facts(fact_rows(_stored(lines), STAMP))
     unseen = new_rows(fact_rows(lines, STAMP), stored, FACT_KEY)
-    numbered = _numbered_facts(unseen, next_id(stored, INVOICE_FACT_TABLE.primary_key))
+    numbered = _numbered_facts(unseen, next_id(stored, INVOICE_FACT_TABLE.primary_key), rows_stored=False)
     return conform(star(numbered, dims), INVOICE_FACT_TABLE.schema)
 
 
@@ -340,7 +342,7 @@ def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     wh = _warehouse(spark)
-    wh.append(INVOICE_SILVER, _silver(spark, folder))
+    wh.append(INVOICE_SILVER, _silver(spark, folder), STAMP)
     return wh.scan(INVOICE_SILVER)
 
 

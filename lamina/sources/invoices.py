@@ -23,6 +23,16 @@ EXTRA_COLUMNS = {
 }
 
 
+def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
+    """Spread a scan with fewer splits than cores over the cores.
+
+    Only a small input has so few splits. With many files nothing happens, so
+    no shuffle is added where it would cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
 def invoice_lines(spark: SparkSession, folder: str, extra: Iterable[str] = ()) -> DataFrame:
     """One line per order line, with the named ``EXTRA_COLUMNS``.
 
@@ -34,7 +44,7 @@ def invoice_lines(spark: SparkSession, folder: str, extra: Iterable[str] = ()) -
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     joined = (
-        table("lineitem")
+        use_all_cores(table("lineitem"), "l_orderkey", "l_linenumber")
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))

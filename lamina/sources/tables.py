@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from lamina.operators.evolution import conform, new_columns
 from lamina.operators.profiling import observed
 from lamina.operators.quality import reject_reason
-from lamina.schemas import Table
+from lamina.schemas import LOAD_DATE, Table
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -21,6 +22,11 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame the optimizer knows to be empty, so a join against it costs no shuffle."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).filter(F.lit(False))
+
+
 def scan_connector(
     spark: SparkSession, fmt: str, options: dict[str, str], table: str | None = None
 ) -> DataFrame:
@@ -77,7 +83,7 @@ class Warehouse:
     def scan(self, table: Table) -> DataFrame:
         """Stored rows; no rows of the declared columns while the table is missing."""
         if not self.exists(table):
-            return self.spark.createDataFrame([], table.schema)
+            return no_rows(self.spark, table.schema)
         stored = self.spark.table(self.name(table))
         declared = [c for c in table.schema.names if c in stored.columns]
         return stored.select(*declared, *[c for c in stored.columns if c not in declared])
@@ -90,11 +96,15 @@ class Warehouse:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
             self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
 
-    def append(self, table: Table, df: DataFrame, evolve: bool = False) -> Load:
+    def append(
+        self, table: Table, df: DataFrame, load_ts: datetime | None = None, evolve: bool = False
+    ) -> Load:
         """Append the rows that meet NOT NULL; count offered and rejected rows in the same job.
 
         A missing table is created first, from the incoming columns if ``evolve``,
-        which also adds unknown columns to a table that exists.
+        which also adds unknown columns to a table that exists. ``load_ts``, when
+        all rows carry it, names the one partition that is written; without it
+        Spark sorts the rows by partition first.
         """
         if not self.exists(table):
             self.create(table, T.StructType([*table.schema, *new_columns(df.schema, table.schema)]) if evolve else None)
@@ -103,10 +113,11 @@ class Warehouse:
         rows = conform(df, self.schema(table))
         rejected = reject_reason(table.required).isNotNull()
         counted, observation = observed(rows, f"load {table.name}", F.count_if(rejected).alias("rejected"))
-        writer = counted.filter(~rejected).write.format(self.fmt).mode("append")
-        if table.partition_by:
-            writer = writer.partitionBy(*table.partition_by)
-        writer.saveAsTable(self.name(table))
+        accepted, partition = counted.filter(~rejected), ""
+        if table.partition_by and load_ts is not None:
+            accepted = accepted.drop(LOAD_DATE)
+            partition = f"PARTITION ({LOAD_DATE} = DATE'{load_ts.date()}')"
+        self.spark.sql(f"INSERT INTO {self.name(table)} {partition} BY NAME SELECT * FROM {{rows}}", rows=accepted)
         metrics = observation.get
         return Load(
             table=table.name,
