@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from lamina.operators import cleaning
@@ -33,7 +37,7 @@ def load_bronze(wh: Warehouse, incoming: DataFrame, small: bool = False) -> Load
 def load_silver(wh: Warehouse, load_ts: datetime | None = None) -> list[Load]:
     """Clean and route stored bronze; append the invoices each silver table does not have."""
     routed = cleaning.route(cleaning.silver_typed(wh.scan(INVOICE), load_ts))
-    return [_append_unseen(wh, TABLES[name], rows, load_ts) for name, rows in routed.items()]
+    return _side_by_side(wh, _silver_loads(wh, routed, load_ts))
 
 
 def load_gold_invoices(
@@ -43,12 +47,7 @@ def load_gold_invoices(
     small: bool = False,
 ) -> list[Load]:
     """Copy both silver tables to gold under a new load stamp."""
-    silver = silver or _stored_silver(wh)
-    targets = {INVOICE_SILVER.name: INVOICE_GOLD, INVOICE_CANCELLED_SILVER.name: INVOICE_CANCELLED_GOLD}
-    return [
-        _append_unseen(wh, target, cleaning.gold_invoice(silver[source], load_ts), load_ts, small)
-        for source, target in targets.items()
-    ]
+    return _side_by_side(wh, _gold_invoice_loads(wh, silver or _stored_silver(wh), load_ts, small))
 
 
 def load_dimension(
@@ -91,12 +90,12 @@ def load_gold(
     grain: str = KEY,
     small: bool = False,
 ) -> list[Load]:
-    """Gold invoices, then the dimensions, then the fact that looks them up."""
+    """Gold invoices and dimensions, then the fact that looks the dimensions up."""
     silver = silver or _stored_silver(wh)
-    loads = load_gold_invoices(wh, load_ts, silver, small)
     lines = silver[INVOICE_SILVER.name]
-    loads += [load_dimension(wh, dim, lines, load_ts, grain, small) for dim in DIMENSIONS]
-    return [*loads, load_fact(wh, lines, load_ts, grain, small)]
+    independent = _gold_invoice_loads(wh, silver, load_ts, small)
+    independent += [partial(load_dimension, wh, dim, lines, load_ts, grain, small) for dim in DIMENSIONS]
+    return [*_side_by_side(wh, independent), load_fact(wh, lines, load_ts, grain, small)]
 
 
 def run_layers(
@@ -121,7 +120,7 @@ def run_increment(
     """
     load_ts, small = load_ts or datetime.now(), is_small(bronze)
     silver = cleaning.route(cleaning.silver_typed(bronze, load_ts))
-    silver_loads = [_append_unseen(wh, TABLES[name], rows, load_ts, small) for name, rows in silver.items()]
+    silver_loads = _side_by_side(wh, _silver_loads(wh, silver, load_ts, small))
     gold_loads = load_gold(wh, load_ts, silver, grain, small)
     return [*silver_loads, *gold_loads, load_bronze(wh, bronze, small)]
 
@@ -139,6 +138,28 @@ def _stored_silver(wh: Warehouse) -> dict[str, DataFrame]:
     return {t.name: wh.scan(t) for t in (INVOICE_SILVER, INVOICE_CANCELLED_SILVER)}
 
 
+def _silver_loads(
+    wh: Warehouse, routed: dict[str, DataFrame], load_ts: datetime | None, small: bool = False
+) -> list[Callable[[], Load]]:
+    return [partial(_append_unseen, wh, TABLES[name], rows, load_ts, small) for name, rows in routed.items()]
+
+
+def _gold_invoice_loads(
+    wh: Warehouse, silver: dict[str, DataFrame], load_ts: datetime | None, small: bool = False
+) -> list[Callable[[], Load]]:
+    targets = {INVOICE_SILVER.name: INVOICE_GOLD, INVOICE_CANCELLED_SILVER.name: INVOICE_CANCELLED_GOLD}
+    return [
+        partial(_append_unseen, wh, target, cleaning.gold_invoice(silver[source], load_ts), load_ts, small)
+        for source, target in targets.items()
+    ]
+
+
+def _side_by_side(wh: Warehouse, loads: list[Callable[[], Load]]) -> list[Load]:
+    """Loads of different tables at the same time: one's last tasks and commit leave room for another."""
+    with ThreadPoolExecutor(len(loads)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(wh.spark)(load)) for load in loads]]
+
+
 def _append_unseen(
     wh: Warehouse, table: Table, rows: DataFrame, load_ts: datetime | None, small: bool = False
 ) -> Load:
