@@ -6,7 +6,7 @@ from lamina.functions.columns import (
     natural_key,
     to_working_decimal,
 )
-from lamina.functions.temporal import invoice_time, load_stamp, time_of_day
+from lamina.functions.temporal import invoice_time, load_stamp, now, time_of_day
 
 __all__ = [
     "MISSING_DESCRIPTION",
@@ -14,6 +14,7 @@ __all__ = [
     "is_cancellation",
     "load_stamp",
     "natural_key",
+    "now",
     "time_of_day",
     "to_working_decimal",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.schemas import LOAD_DATE, LOAD_TIME
@@ -23,6 +23,11 @@ def time_of_day(ts: Column) -> Column:
     return F.date_format(ts, TIME_OF_DAY_FORMAT)
 
 
+def now(spark: SparkSession) -> datetime:
+    """The current time in the session's time zone, to pass as ``load_ts``."""
+    return spark.range(1).select(F.localtimestamp()).first()[0]
+
+
 def load_stamp(load_ts: datetime | None = None) -> dict[str, Column]:
     """Load date and load time. Pass ``load_ts`` to give all tables of a run one stamp."""
     if load_ts is None:

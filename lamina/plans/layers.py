@@ -10,6 +10,7 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
+from lamina.functions import now
 from lamina.operators import cleaning
 from lamina.operators.incremental import is_small, new_rows
 from lamina.operators.star import DIMENSIONS, KEY, Dimension, dimension_rows, fact_rows, star
@@ -102,7 +103,7 @@ def run_layers(
     wh: Warehouse, incoming: DataFrame, load_ts: datetime | None = None, grain: str = KEY
 ) -> list[Load]:
     """The whole run over stored tables. Running it again appends nothing."""
-    load_ts = load_ts or datetime.now()
+    load_ts = load_ts or now(wh.spark)
     return [load_bronze(wh, incoming), *load_silver(wh, load_ts), *load_gold(wh, load_ts, grain=grain)]
 
 
@@ -118,7 +119,7 @@ def run_increment(
     Until it has the invoices, an increment that was cut short is found new
     again, and the other tables drop what they already have.
     """
-    load_ts, small = load_ts or datetime.now(), is_small(bronze)
+    load_ts, small = load_ts or now(wh.spark), is_small(bronze)
     silver = cleaning.route(cleaning.silver_typed(bronze, load_ts))
     silver_loads = _side_by_side(wh, _silver_loads(wh, silver, load_ts, small))
     gold_loads = load_gold(wh, load_ts, silver, grain, small)

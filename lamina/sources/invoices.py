@@ -29,8 +29,9 @@ def use_all_cores(df: DataFrame, *by: str) -> DataFrame:
     Only a small input has so few splits. With many files nothing happens, so
     no shuffle is added where it would cost.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *by) if df.rdd.getNumPartitions() < tasks else df
 
 
 def invoice_lines(spark: SparkSession, folder: str, extra: Iterable[str] = ()) -> DataFrame:

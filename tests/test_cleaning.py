@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.functions import invoice_time, load_stamp, natural_key, time_of_day, to_working_decimal
+from lamina.functions import invoice_time, load_stamp, natural_key, now, time_of_day, to_working_decimal
 from lamina.operators import cleaning
 
 STAMP = datetime(2024, 1, 31, 12, 34)
@@ -115,3 +115,10 @@ def test_cancelled_prefix_reaches_the_scan(spark, folder, tmp_path):
     assert "StringStartsWith(INVOICENO,C)" in text
     assert "CUSTOMERID" not in text
     assert "Exchange" not in text
+
+
+def test_now_follows_the_session_time_zone(spark, settings):
+    settings(spark__sql__session__timeZone="UTC")
+    utc = now(spark)
+    settings(spark__sql__session__timeZone="Asia/Tokyo")
+    assert round((now(spark) - utc).total_seconds() / 3600) == 9

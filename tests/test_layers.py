@@ -134,3 +134,11 @@ def test_stored_ids_fit_the_column(loaded):
     wh, _, _ = loaded
     top = wh.scan(INVOICE_FACT_TABLE).agg(F.max("INVOICE_FACT_ID")).first()[0]
     assert 4190 <= top + 1 < 2**63
+
+
+def test_nothing_to_load(spark, warehouse):
+    """No bronze table, then one without rows: every load reports zero."""
+    assert [load.offered for load in load_silver(warehouse, STAMP)] == [0, 0]
+    warehouse.create(INVOICE)
+    assert {load.offered for load in run_layers(warehouse, warehouse.scan(INVOICE))} == {0}
+    assert set(counts(warehouse).values()) == {0}
