@@ -3,8 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from lamina.plans import oracle
+from lamina.plans import queries as plans
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = plans.queries(), oracle.oracle_sql()
 
 # Rows at the smallest scale, counted independently when the mapping was designed.
 EXPECTED_ROWS = {
