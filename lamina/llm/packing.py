@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.byte_ids import encoder
-from lamina.llm.common import record, slices, starts_of, texts_of
+from lamina.llm.common import record, slices, starts_of
 
 SEQUENCE = 2048
 #: Cost of a token, and of a pair of tokens in one piece: a layer of width 4096 spends about
@@ -94,7 +94,7 @@ def pack(
         sequence = (context.partitionId() if context else 0) << 33
         coder = encoder(vocabulary)
         for part in slices(batches):
-            flat, counts = coder.encode(texts_of(part))
+            flat, counts = coder.encode(part.column("text"))
             # The end id stands after each document's own ids.
             flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
             counts += 1

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import RaggedCache, slices, starts_of, texts_of
+from lamina.llm.common import RaggedCache, slices, starts_of
 
 WORD_BPE = "word_bpe_49k.json"
 NONE = np.iinfo(np.int64).max
@@ -34,8 +34,6 @@ ALONE, CELLS = 512, 1 << 20
 # Fixed values of the tokenizer's format: white space of its pattern, and the pattern within a word.
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
-#: Characters that str.split takes for white space and the pattern does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def vocabulary_path(name: str = WORD_BPE) -> str:
@@ -192,15 +190,16 @@ class WordEncoder(RaggedCache):
         self.final = [vocab[c + end] for c in byte_symbols()]
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.merges = Merges([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], len(self.tokens))
+        # Separators that Arrow takes for white space and the pattern does not, and special tokens.
+        self.odd = "|".join([r"[\x1c-\x1f]", *map(re.escape, self.special)])
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
+    def split(self, texts: pa.Array) -> pa.Array:
+        return pc.utf8_split_whitespace(texts)
+
     def parts(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            parts = self._cut.split(text)
-            return [w for p in parts for w in ([p] if p in self.special else _SPACES.split(p)) if w]
-        if _SEPARATORS.search(text):
-            return [w for w in _SPACES.split(text) if w]
-        return text.split()
+        cut = self._cut.split(text)
+        return [w for p in cut for w in ([p] if p in self.special else _SPACES.split(p)) if w]
 
     def learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces: list[bytes] = []
@@ -253,7 +252,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for part in slices(batches):
-            flat, counts = coder.encode(texts_of(part))
+            flat, counts = coder.encode(part.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(starts_of(counts), pa.int32()), pa.array(flat, pa.int32()))
             decoded = coder.decode(flat, counts).cast(pa.string())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, decoded], ["doc_id", "ids", "decoded"])

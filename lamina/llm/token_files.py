@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.byte_ids import encoder
-from lamina.llm.common import record, slices, starts_of, texts_of
+from lamina.llm.common import record, slices, starts_of
 from lamina.session import fresh_path, materialize
 
 #: A block closes once it has this many ids; a longer document is a block of its own.
@@ -61,7 +61,7 @@ def document_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         coder = encoder(vocabulary)
         kind = id_type(coder.tokenizer.get_vocab_size())
         for part in slices(batches):
-            flat, counts = coder.encode(texts_of(part))
+            flat, counts = coder.encode(part.column("text"))
             ends = starts_of(counts)
             flat = flat.astype(kind)
             end = np.array([end_id], kind).tobytes()
