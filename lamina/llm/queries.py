@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import byte_ids, markov, packing, segment_bpe, token_files
+from lamina.llm import byte_ids, jaccard_join, markov, packing, segment_bpe, token_files
 from lamina.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op2_segment_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard_join.link_classes(docs)
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     path = token_files.fresh_token_path(spark)
@@ -46,7 +51,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, byte_ids.vocabulary_path(), end_id=1)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_markov, op2_segment_bpe, op6_token_files, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_markov, op2_segment_bpe, op5_jaccard_join, op6_token_files, op9_packing)}
 
 
 def queries() -> dict[str, Query]:
