@@ -15,7 +15,7 @@ Two set relations skip work:
   head of the list and its neighbour. Sets that are then in one class have the same
   answers: their pairs are never looked at again. Only pairs from different classes that
   the bounds (size, position, and differing bits of two fixed-size signatures) do not
-  rule out go on: the nearest pair of each set and class first, then all that are left.
+  rule out go on: the nearest pair of each set in two rounds, then all that are left.
 
 Every pair that goes on is verified on the full sets, so the result is exact up to
 collisions of 64-bit shingle hashes.
@@ -196,6 +196,9 @@ def _columns(table: pa.Table, comp: bool = False) -> dict[str, np.ndarray]:
 
 
 _PAIRS = "a long, b long"
+_FIRST = "x long, other long, early boolean"
+#: Entries of a list whose pairs all go on in the first round: shorter lists are done with it.
+EARLY = 3
 
 
 def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -203,8 +206,8 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _first_pairs(bounds: _Bounds, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each entry of a list with the list's first entry and with the entry before it."""
-    head = None  # the first entry of the list that the last batch ended in, and the last entry
+    """Each entry x of a list with the list's first entry and with the entry before it."""
+    head, seen = None, 0  # first and last entry of the list that the last batch ended in, and its length so far
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -216,6 +219,7 @@ def _first_pairs(bounds: _Bounds, batches: Iterator[pa.RecordBatch]) -> Iterator
         row = np.arange(len(c["n"]))
         new = np.r_[True, c["shingle"][1:] != c["shingle"][:-1]]
         first = np.maximum.accumulate(np.where(new, row, 0))
+        place = np.where((first == 0) & (lead > 0), row - lead + seen, row - first)
         for other in (first, np.maximum(row - 1, first)):
             x = row[(row >= lead) & (other < row) & (c["set_id"] != c["set_id"][other])]
             for k in range(0, len(x), 1 << 15):
@@ -223,15 +227,29 @@ def _first_pairs(bounds: _Bounds, batches: Iterator[pa.RecordBatch]) -> Iterator
                 j = other[i]
                 ok = bounds.may_link(c["n"][i], c["n"][j], c["at"][i], c["at"][j], c["bits"][i], c["bits"][j])
                 if ok.any():
-                    yield _pair_batch(c["set_id"][i[ok]], c["set_id"][j[ok]])
-        kept = sorted({int(first[-1]), len(row) - 1})
-        head = table.take(pa.array(kept))
+                    i, j = i[ok], j[ok]
+                    found = {"x": c["set_id"][i], "other": c["set_id"][j], "early": place[i] < EARLY}
+                    yield pa.RecordBatch.from_pydict(found)
+        seen = int(place[-1]) + 1
+        head = table.take(pa.array(sorted({int(first[-1]), len(row) - 1})))
+
+
+def _chosen(first: DataFrame) -> DataFrame:
+    """All early pairs; of the others, for each set the partner met in most lists and the smallest one."""
+    met = first.groupBy("x", "other").agg(F.count("*").alias("n"), F.max("early").alias("early"))
+    met = materialize(met, "first-pairs")
+    ends = met.groupBy("x").agg(
+        F.max(F.struct("n", (-F.col("other")).alias("other"))).alias("most"), F.min("other").alias("low")
+    )
+    found = met.filter("early").select("x", "other")
+    found = found.union(ends.select("x", -F.col("most.other"))).union(ends.select("x", "low"))
+    return found.select(F.least("x", "other").alias("a"), F.greatest("x", "other").alias("b")).distinct()
 
 
 def _cross_pairs(bounds: _Bounds, nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of one list from different classes that no bound rules out.
 
-    With ``nearest`` only the pair of fewest differing bits for each entry and other class.
+    With ``nearest`` only the pair of fewest differing bits for each entry and block.
     """
     for entries in _lists(batches):
         c = _columns(entries, comp=True)
@@ -266,9 +284,9 @@ def _cross_pairs(bounds: _Bounds, nearest: bool, batches: Iterator[pa.RecordBatc
                 ok = differ <= total - 2 * -(-bounds.over * total // (bounds.over + bounds.under))
                 i, j, differ = i[ok], j[ok], differ[ok]
                 if nearest and len(i):
-                    order = np.lexsort((differ, c["comp"][j], i))
+                    order = np.lexsort((differ, i))
                     i, j = i[order], j[order]
-                    own = np.r_[True, (i[1:] != i[:-1]) | (c["comp"][j][1:] != c["comp"][j][:-1])]
+                    own = np.r_[True, i[1:] != i[:-1]]
                     i, j = i[own], j[own]
                 if len(i):
                     yield _pair_batch(c["set_id"][i], c["set_id"][j])
@@ -379,15 +397,18 @@ def link_classes(
     )
     order = ["shingle", "n", "set_id"]
     ranged = index.repartition("shingle").sortWithinPartitions(*order)
-    pairs = materialize(ranged.mapInArrow(partial(_first_pairs, bounds), _PAIRS).distinct(), "pairs")
+    pairs = materialize(_chosen(ranged.mapInArrow(partial(_first_pairs, bounds), _FIRST)), "pairs")
     checked, links = pairs, materialize(_verified(docs, sets, pairs, width, bounds), "links")
 
     classes = components(links)
-    for nearest in (True, False):
+    for nearest in (True, True, False):
         labelled = index.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
         labelled = labelled.withColumn("comp", F.coalesce("comp", "set_id"))
-        mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        open_lists = labelled.join(mixed.filter("low < high").select("shingle"), "shingle", "left_semi")
+        lists = labelled.groupBy("shingle").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")
+        )
+        lists = lists.filter((F.col("low") < F.col("high")) & (F.col("size") > EARLY)).select("shingle")
+        open_lists = labelled.join(lists, "shingle", "left_semi")
         ordered = open_lists.repartition("shingle").sortWithinPartitions(*order)
         pairs = ordered.mapInArrow(partial(_cross_pairs, bounds, nearest), _PAIRS).distinct()
         pairs = materialize(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
