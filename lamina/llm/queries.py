@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import byte_ids, jaccard_join, markov, packing, segment_bpe, token_files
+from lamina.llm import byte_ids, jaccard_join, language, markov, packing, segment_bpe, token_files, toxicity
 from lamina.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,19 @@ def op2_segment_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(4) == 2
+    model = language.fit(docs, ~held_out)
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("lid_language").alias("lang_pred"),
+        F.col("lid_score").alias("score"),
+        F.col("lid_rejected").alias("rejected"),
+    )
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return jaccard_join.link_classes(docs)
@@ -51,7 +64,19 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, byte_ids.vocabulary_path(), end_id=1)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_markov, op2_segment_bpe, op5_jaccard_join, op6_token_files, op9_packing)}
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (_table(spark, folder, name) for name in ("documents", "labels"))
+    held_out = id_remainder(5) == 0
+    model = toxicity.fit(docs, labels, ~held_out)
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("tox_score").alias("score"),
+        (F.col("tox_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_markov, op2_segment_bpe, op4_language, op5_jaccard_join, op6_token_files, op9_packing, op10_toxicity)}
 
 
 def queries() -> dict[str, Query]:
