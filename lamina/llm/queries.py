@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import byte_ids, jaccard_join, language, markov, packing, segment_bpe, token_files, toxicity
+from lamina.llm import byte_ids, jaccard_join, language, markov, packing, segment_bpe, simhash, token_files, toxicity, warc_archive
 from lamina.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op2_segment_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.edit_likeness(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder(4) == 2
@@ -59,6 +63,12 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op8_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    path = warc_archive.fresh_archive_path(spark)
+    warc_archive.write_archive(_table(spark, folder, "pages"), path)
+    return warc_archive.read_index(spark, path)
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return packing.pack(docs, byte_ids.vocabulary_path(), end_id=1)
@@ -76,7 +86,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_markov, op2_segment_bpe, op4_language, op5_jaccard_join, op6_token_files, op9_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_markov, op2_segment_bpe, op3_simhash, op4_language, op5_jaccard_join, op6_token_files,
+    op8_warc_archive, op9_packing, op10_toxicity,
+)}
 
 
 def queries() -> dict[str, Query]:
