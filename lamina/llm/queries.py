@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import byte_ids, jaccard_join, language, markov, packing, segment_bpe, simhash, token_files, toxicity, warc_archive
+from lamina.llm import (
+    ann,
+    byte_ids,
+    jaccard_join,
+    language,
+    markov,
+    packing,
+    segment_bpe,
+    simhash,
+    token_files,
+    toxicity,
+    warc_archive,
+)
 from lamina.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +75,10 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op7_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     path = warc_archive.fresh_archive_path(spark)
     warc_archive.write_archive(_table(spark, folder, "pages"), path)
@@ -88,7 +104,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_markov, op2_segment_bpe, op3_simhash, op4_language, op5_jaccard_join, op6_token_files,
-    op8_warc_archive, op9_packing, op10_toxicity,
+    op7_ann, op8_warc_archive, op9_packing, op10_toxicity,
 )}
 
 
