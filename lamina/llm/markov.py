@@ -153,21 +153,16 @@ def next_states(starts: np.ndarray, moved: np.ndarray, emitted: np.ndarray) -> S
 # The corpus as chunks: the words of a slice of documents as numbers, with the slice's own vocabulary.
 
 _CHUNKS = (
-    "chunk long, doc_ids array<long>, training array<boolean>, counts array<long>, codes binary, "
-    "vocabulary array<binary>, classes array<int>, seen array<long>"
+    "chunk long, doc_ids array<long>, kinds binary, counts binary, codes binary, classes binary, "
+    "vocabulary array<binary>, seen array<long>, n_training long"
 )
 _CHUNK_SCHEMA = pa.schema(
-    [
-        ("chunk", pa.int64()),
-        ("doc_ids", pa.list_(pa.int64())),
-        ("training", pa.list_(pa.bool_())),
-        ("counts", pa.list_(pa.int64())),
-        ("codes", pa.binary()),
-        ("vocabulary", pa.list_(pa.binary())),
-        ("classes", pa.list_(pa.int32())),
-        ("seen", pa.list_(pa.int64())),
-    ]
+    [("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64()))]
+    + [(name, pa.binary()) for name in ("kinds", "counts", "codes", "classes")]
+    + [("vocabulary", pa.list_(pa.binary())), ("seen", pa.list_(pa.int64())), ("n_training", pa.int64())]
 )
+#: Kinds of documents: 0 held out, 1 for training, 2 for training and in the share of the first rounds.
+_TRAINING, _IN_SHARE = 1, 2
 
 
 def chunks(docs: DataFrame, training: Column) -> DataFrame:
@@ -179,26 +174,25 @@ def chunks(docs: DataFrame, training: Column) -> DataFrame:
         for part in slices(batches):
             flat, counts = words_of(texts_of(part))
             codes, vocabulary = coded(flat)
-            train = part.column("training").to_numpy(zero_copy_only=False).astype(bool)
-            seen = np.bincount(codes[np.repeat(train, counts)], minlength=len(vocabulary))
+            kinds = part.column("kind").to_numpy(zero_copy_only=False).astype(np.uint8)
+            seen = np.bincount(codes[np.repeat(kinds >= _TRAINING, counts)], minlength=len(vocabulary))
             row = {
                 "chunk": [chunk],
                 "doc_ids": [part.column("doc_id").to_pylist()],
-                "training": [train],
-                "counts": [counts],
+                "kinds": [kinds.tobytes()],
+                "counts": [counts.astype("<u4").tobytes()],
                 "codes": [codes.astype(_code_type(len(vocabulary))).tobytes()],
+                "classes": [np.fromiter(map(word_class, vocabulary), "<u2", len(vocabulary)).tobytes()],
                 "vocabulary": [vocabulary],
-                "classes": [list(map(word_class, vocabulary))],
                 "seen": [seen],
+                "n_training": [int((kinds >= _TRAINING).sum())],
             }
             yield record(row, _CHUNK_SCHEMA)
             chunk += 1
 
-    columns = docs.select(
-        F.col("doc_id").cast("long"),
-        F.col("text").cast("string"),
-        F.coalesce(training, F.lit(False)).alias("training"),
-    )
+    share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(SHARE)) == 0
+    kind = F.when(~F.coalesce(training, F.lit(False)), 0).when(share, _IN_SHARE).otherwise(_TRAINING)
+    columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), kind.alias("kind"))
     return columns.mapInArrow(cut, _CHUNKS)
 
 
@@ -206,20 +200,22 @@ def _code_type(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
-def _codes(row: dict) -> np.ndarray:
-    return np.frombuffer(row["codes"], _code_type(len(row["classes"])))
+def _numbers(batch: pa.RecordBatch, name: str, row: int, kind: str) -> np.ndarray:
+    return np.frombuffer(batch.column(name)[row].as_buffer(), kind)
 
 
-def _sequences(row: dict, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the chosen documents of a chunk, each with its end, and their lengths."""
-    counts = np.array(row["counts"], np.int64)
-    classes = np.array(row["classes"], np.int32)[_codes(row)][np.repeat(keep, counts)]
-    counts = counts[keep]
-    return np.insert(classes, np.cumsum(counts), 0), counts + 1
+def _sequences(batch: pa.RecordBatch, row: int, least_kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of a chunk's documents of this kind or above, each with its end, and their lengths."""
+    counts = _numbers(batch, "counts", row, "<u4").astype(np.int64)
+    keep = _numbers(batch, "kinds", row, "u1") >= least_kind
+    classes = _numbers(batch, "classes", row, "<u2")
+    codes = _numbers(batch, "codes", row, _code_type(len(classes)))
+    counts, classes = counts[keep], classes[codes[np.repeat(keep, counts)]]
+    return np.insert(classes, np.cumsum(counts), 0).astype(np.int32), counts + 1
 
 
-def baum_welch(corpus: DataFrame, model: States, share: int = 1, window: int = WINDOW) -> States:
-    """One round over the training documents, or over one in ``share`` of them."""
+def baum_welch(corpus: DataFrame, model: States, least_kind: int = _TRAINING, window: int = WINDOW) -> States:
+    """One round over the documents of this kind or above."""
     spark = corpus.sparkSession
     k = len(model.start)
     shared = spark.sparkContext.broadcast(model)
@@ -228,13 +224,10 @@ def baum_welch(corpus: DataFrame, model: States, share: int = 1, window: int = W
         model = shared.value
         starts, moved, emitted = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
         for batch in batches:
-            for row in batch.to_pylist():
-                keep = np.array(row["training"], bool)
-                if share > 1:
-                    keep &= np.array([zlib.crc32(b"share %d" % (i or 0)) % share == 0 for i in row["doc_ids"]], bool)
-                if not keep.any():
+            for row in range(batch.num_rows):
+                classes, counts = _sequences(batch, row, least_kind)
+                if not len(counts):
                     continue
-                classes, counts = _sequences(row, keep)
                 pieces = -(-counts // window)
                 lengths = np.full(int(pieces.sum()), window)
                 lengths[np.cumsum(pieces) - 1] = counts - (pieces - 1) * window
@@ -248,7 +241,7 @@ def baum_welch(corpus: DataFrame, model: States, share: int = 1, window: int = W
         yield pa.RecordBatch.from_pydict({"key": np.array(keys)[filled]} | rows)
 
     schema = "key long, " + ", ".join(f"v{s} double" for s in range(k))
-    columns = corpus.select("doc_ids", "training", "counts", "codes", "classes")
+    columns = corpus.select("kinds", "counts", "codes", "classes")
     summed = columns.mapInArrow(expect, schema).groupBy("key").agg(*(F.sum(f"v{s}").alias(f"v{s}") for s in range(k)))
     starts, moved, emitted = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
     for row in summed.collect():  # at most 1 + k + CLASSES rows
@@ -261,6 +254,26 @@ def baum_welch(corpus: DataFrame, model: States, share: int = 1, window: int = W
     return next_states(starts, moved, emitted)
 
 
+def share_of(corpus: DataFrame) -> DataFrame:
+    """The documents in the share of the first rounds alone, stored as chunks without vocabulary."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                classes, counts = _sequences(batch, row, _IN_SHARE)
+                # A class stands for itself here, so codes are classes and the ends are taken off again.
+                found = {
+                    "kinds": [np.full(len(counts), _IN_SHARE, np.uint8).tobytes()],
+                    "counts": [(counts - 1).astype("<u4").tobytes()],
+                    "codes": [np.delete(classes, np.cumsum(counts) - 1).astype("<u2").tobytes()],
+                    "classes": [np.arange(CLASSES, dtype="<u2").tobytes()],
+                }
+                yield pa.RecordBatch.from_pydict(found)
+
+    columns = corpus.select("kinds", "counts", "codes", "classes")
+    return materialize(columns.mapInArrow(pick, "kinds binary, counts binary, codes binary, classes binary"), "share")
+
+
 @dataclass
 class Totals:
     """Training tokens and distinct ones, over all and by class."""
@@ -280,19 +293,29 @@ class LanguageModel:
 
 def train(corpus: DataFrame, states: int = STATES) -> LanguageModel:
     """Count all training words and fit the states. ``corpus`` holds stored chunks."""
-    entries = corpus.select(F.inline(F.arrays_zip("vocabulary", "classes", "seen"))).filter("seen > 0")
-    counted = entries.groupBy(F.col("vocabulary").alias("word")).agg(
-        F.first("classes").alias("class"), F.sum("seen").alias("n")
-    )
+    entries = corpus.select(F.inline(F.arrays_zip("vocabulary", "seen"))).filter("seen > 0")
+    counted = entries.groupBy(F.col("vocabulary").alias("word")).agg(F.sum("seen").alias("n"))
     words = materialize(counted, "words")
+
+    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, distinct = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            classes = np.fromiter(map(word_class, batch.column("word").to_pylist()), np.int64, batch.num_rows)
+            np.add.at(tokens, classes, batch.column("n").to_numpy())
+            distinct += np.bincount(classes, minlength=CLASSES)
+        at = np.flatnonzero(distinct)
+        yield pa.RecordBatch.from_pydict({"class": at.astype(np.int32), "tokens": tokens[at], "words": distinct[at]})
+
+    summed = words.mapInArrow(by_class, "class int, tokens long, words long").groupBy("class")
     class_tokens, class_distinct = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for row in words.groupBy("class").agg(F.sum("n"), F.count("*")).collect():  # at most CLASSES rows
+    for row in summed.agg(F.sum("tokens"), F.sum("words")).collect():  # at most CLASSES rows
         class_tokens[row[0]], class_distinct[row[0]] = row[1], row[2]
-    ends = corpus.select(F.sum(F.size(F.filter("training", lambda t: t)))).first()[0] or 0
+    ends = corpus.agg(F.sum("n_training")).first()[0] or 0
     class_tokens[0], class_distinct[0] = ends, min(1, ends)
     model = first_states(states)
+    share = share_of(corpus)
     for _ in range(FIRST_ROUNDS):
-        model = baum_welch(corpus, model, SHARE)
+        model = baum_welch(share, model, _IN_SHARE)
     for _ in range(FULL_ROUNDS):
         model = baum_welch(corpus, model)
     totals = Totals(int(class_tokens.sum()), int(class_distinct.sum()), class_tokens, class_distinct)
@@ -317,7 +340,8 @@ def score(corpus: DataFrame, model: LanguageModel, alpha: float = ALPHA) -> Data
     known = counted.groupBy("chunk").agg(
         F.collect_list(F.struct(F.col("at"), F.col("n"))).alias("known")
     )
-    joined = corpus.select("chunk", "doc_ids", "training", "counts", "codes", "classes").join(known, "chunk", "left")
+    columns = ["doc_ids", "kinds", "counts", "codes", "classes"]
+    joined = corpus.select("chunk", *columns).join(known, "chunk", "left").select(*columns, "known")
     shared = corpus.sparkSession.sparkContext.broadcast((model.states, model.totals))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,22 +349,22 @@ def score(corpus: DataFrame, model: LanguageModel, alpha: float = ALPHA) -> Data
         unit = math.log10(totals.tokens + alpha * (totals.distinct + 1))
         class_unit = np.log10(totals.class_tokens + alpha * (totals.class_distinct + 1))
         for batch in batches:
-            known = batch.column("known")
-            for i, row in enumerate(batch.drop_columns(["known"]).to_pylist()):
-                n = np.zeros(len(row["classes"]), np.int64)
-                if known[i].is_valid:
-                    pairs = known[i].values
-                    n[pairs.field("at").to_numpy()] = pairs.field("n").to_numpy()
-                codes, counts = _codes(row), np.array(row["counts"], np.int64)
+            for row in range(batch.num_rows):
+                classes = _numbers(batch, "classes", row, "<u2")
+                n = np.zeros(len(classes), np.int64)
+                known = batch.column("known")[row]
+                if known.is_valid:
+                    n[known.values.field("at").to_numpy()] = known.values.field("n").to_numpy()
+                codes = _numbers(batch, "codes", row, _code_type(len(classes)))
+                counts = _numbers(batch, "counts", row, "<u4").astype(np.int64)
                 logs = np.log10(n + alpha)
                 end = math.log10(totals.class_tokens[0] + alpha)
                 base = sums(logs[codes], counts) + end - (counts + 1) * unit
-                classes = np.array(row["classes"], np.int32)
                 within = sums((logs - class_unit[classes])[codes], counts) + end - class_unit[0]
-                hidden = log_likelihood(states, *_sequences(row, np.ones(len(counts), bool)))
+                hidden = log_likelihood(states, *_sequences(batch, row, 0))
                 found = {
-                    "doc_id": row["doc_ids"],
-                    "held_out": ~np.array(row["training"], bool),
+                    "doc_id": batch.column("doc_ids")[row].values,
+                    "held_out": _numbers(batch, "kinds", row, "u1") == 0,
                     "n_tokens": counts + 1,
                     "n_known": sums((n > 0).astype(np.int64)[codes], counts) + int(totals.class_tokens[0] > 0),
                     "train_tokens": np.full(len(counts), totals.tokens),
