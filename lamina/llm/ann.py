@@ -36,6 +36,8 @@ EXHAUSTIVE = 256
 #: Width of a column block, strictness of the test, vectors and queries compared at once.
 COLUMNS, STRICT = 16, 2.1
 VECTORS, QUERIES = 4096, 512
+#: Pairs that one step of the scan holds.
+PAIRS = 1 << 18
 
 
 @dataclass
@@ -150,30 +152,41 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 def scan(
     index: Index, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, vec_ids, scores) of the best k of one block for each query, by the adaptive scan."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query ids, vec_ids, scores) of the best k of one block for each query, by the adaptive scan.
+
+    All pairs that are still alive go through a column block together.
+    """
     turned, asked = index.turned(vectors, query=False), index.turned(queries, query=True)
     width = turned.shape[1]
     slack = 1e-9 * (index.longest**2 + 1e-300)
-    for q, (query_id, query) in enumerate(zip(query_ids, queries)):
-        alive = np.flatnonzero(ids != query_id)
-        first, rest = alive[: 2 * k], alive[2 * k :]
-        # The first candidates are scored in full; their k-th distance is the one to beat.
-        scores = exact(vectors[first], query)
-        if len(rest):
-            whole = ((turned[first] - asked[q]) ** 2).sum(axis=1)
-            beat = np.partition(whole, min(k, len(whole)) - 1)[min(k, len(whole)) - 1]
-            partial = np.zeros(len(rest))
-            for a in range(0, width, COLUMNS):
-                b = min(a + COLUMNS, width)
-                partial = partial + ((turned[rest, a:b] - asked[q, a:b]) ** 2).sum(axis=1)
-                bound = beat * (1 + STRICT / math.sqrt(b)) ** 2 if b < width else beat
-                keep = partial * (width / b) <= bound + slack
-                rest, partial = rest[keep], partial[keep]
-            first = np.concatenate([first, rest])
-            scores = np.concatenate([scores, exact(vectors[rest], query)])
-        best = np.lexsort((ids[first], -scores))[:k]
-        yield query_id, ids[first[best]], scores[best]
+    # The first candidates are kept in any case; their k-th distance is the one to beat.
+    lead = min(2 * k + 1, len(ids))
+    whole = ((asked[:, None, :] - turned[None, :lead, :]) ** 2).sum(axis=2)
+    whole[query_ids[:, None] == ids[None, :lead]] = np.inf
+    beat = np.partition(whole, min(k, lead) - 1, axis=1)[:, min(k, lead) - 1]
+    q, v = (x.ravel() for x in np.mgrid[: len(query_ids), lead : len(ids)])
+    partial = np.zeros(len(q))
+    for a in range(0, width, COLUMNS):
+        b = min(a + COLUMNS, width)
+        x, y = asked[:, a:b], turned[:, a:b]
+        if a == 0:  # all pairs are alive: one product of two matrices
+            partial = ((x**2).sum(axis=1)[:, None] + (y[lead:] ** 2).sum(axis=1) - 2 * x @ y[lead:].T).ravel()
+        else:
+            partial = partial + ((x[q] - y[v]) ** 2).sum(axis=1)
+        bound = beat[q] * (1 + STRICT / math.sqrt(b)) ** 2 if b < width else beat[q]
+        keep = partial * (width / b) <= bound + slack
+        q, v, partial = q[keep], v[keep], partial[keep]
+    first_q, first_v = (x.ravel() for x in np.mgrid[: len(query_ids), :lead])
+    q, v = np.concatenate([first_q, q]), np.concatenate([first_v, v])
+    other = query_ids[q] != ids[v]
+    q, v = q[other], v[other]
+    scores = exact(vectors[v], queries[q])
+    best = np.lexsort((ids[v], -scores, q))
+    counts = np.bincount(q, minlength=len(query_ids))
+    place = np.arange(len(q)) - np.repeat(np.cumsum(counts) - counts, counts)
+    best = best[place < k]
+    return query_ids[q[best]], ids[v[best]], scores[best]
 
 
 def search(
@@ -198,14 +211,11 @@ def search(
                 query_ids, ids = (np.array(row[c], np.int64) for c in ("q_ids", "v_ids"))
                 queries = np.frombuffer(row["q_vectors"]).reshape(len(query_ids), -1)
                 stored = np.frombuffer(row["v_vectors"]).reshape(len(ids), -1)
-                found = list(scan(shared.value, query_ids, queries, ids, stored, k))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64),
-                        "vec_id": np.concatenate([f[1] for f in found]),
-                        "score": np.concatenate([f[2] for f in found]),
-                    }
-                )
+                step = max(1, PAIRS // len(ids))
+                for a in range(0, len(query_ids), step):
+                    some = slice(a, a + step)
+                    found = scan(shared.value, query_ids[some], queries[some], ids, stored, k)
+                    yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "vec_id", "score"), found)))
 
     near = stored.join(asked, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
