@@ -44,8 +44,12 @@ def _header(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit(_LINE))
 
 
+def _number(page_id: Column, row: Column) -> Column:
+    return F.coalesce(page_id.cast("string"), F.concat(F.lit("row-"), row.cast("string")))
+
+
 def _record_uri(number: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), number.cast("string"), F.lit(">"))
+    return F.concat(F.lit("<urn:page:"), number, F.lit(">"))
 
 
 def write_archive(pages: DataFrame, path: str) -> None:
@@ -69,7 +73,7 @@ def write_archive(pages: DataFrame, path: str) -> None:
     latest = heads.groupBy("sha256").agg(F.max(order).alias("latest"))
     joined = heads.join(latest, "sha256")
     revisit = F.col("row") != F.col("latest.row")
-    uri = F.when(F.col("page_id").isNull(), F.concat(F.lit("row-"), F.col("row"))).otherwise(F.col("page_id"))
+    uri = _number(F.col("page_id"), F.col("row"))
     target = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     http = F.concat(F.lit(_HTTP), F.col("bytes").cast("string"), F.lit(_LINE * 2))
     of_block = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("bytes"))
@@ -83,7 +87,7 @@ def write_archive(pages: DataFrame, path: str) -> None:
         F.when(
             revisit,
             F.concat(
-                _header("WARC-Refers-To", _record_uri(F.col("latest.page_id"))),
+                _header("WARC-Refers-To", _record_uri(_number(F.col("latest.page_id"), F.col("latest.row")))),
                 _header("WARC-Profile", F.lit(_REVISIT_PROFILE)),
             ),
         ).otherwise(""),
