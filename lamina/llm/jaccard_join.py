@@ -344,15 +344,20 @@ def _verified(
     return pairs.join(left, "a").join(right, "b").mapInArrow(linked, _PAIRS)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, comp): each node of ``links`` (a, b) with the smallest node it is connected to.
 
+    ``known`` has the classes of a part of the links, from which the rounds then go on.
+
     Rounds of taking the smallest neighbour and jumping along it; every round is written
     out, and the number of rounds grows with the logarithm of the longest chain.
     """
     edges = links.select(F.col("a").alias("x"), F.col("b").alias("y"))
     edges = materialize(edges.union(edges.select("y", "x")).distinct(), "edges")
     nodes = edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("x")).alias("comp"))
+    if known is not None:
+        before = known.select("node", F.col("comp").alias("before"))
+        nodes = nodes.join(before, "node", "left").select("node", F.coalesce("before", "comp").alias("comp"))
     nodes = materialize(nodes, "components")
     while True:
         near = edges.join(nodes.select(F.col("node").alias("y"), F.col("comp").alias("near")), "y")
@@ -418,7 +423,7 @@ def link_classes(
         found = materialize(_verified(docs, sets, pairs, width, bounds), "links")
         if not found.isEmpty():
             links = links.union(found)
-            classes = components(links)
+            classes = components(links, classes)
 
     of_set = sets.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
     of_set = of_set.select("set_key", "label", F.coalesce("comp", "set_id").alias("comp"))
