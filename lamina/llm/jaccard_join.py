@@ -344,20 +344,48 @@ def _verified(
     return pairs.join(left, "a").join(right, "b").mapInArrow(linked, _PAIRS)
 
 
-def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some links, and the smallest node each is connected to by them."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while len(x):
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != root[root]).any():
+            root = root[root]
+        x, y = root[x], root[y]
+        x, y = x[x != y], y[x != y]
+    return nodes, nodes[root]
+
+
+def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a task as stars: at most one for each node, and chains within the task gone."""
+    a, b, held, kept = [], [], 0, 0
+    for batch in batches:
+        a.append(batch.column("a").to_numpy())
+        b.append(batch.column("b").to_numpy())
+        held += batch.num_rows
+        if held > 2 * kept + (1 << 20):
+            node, root = _forest(np.concatenate(a), np.concatenate(b))
+            a, b = [root[root != node]], [node[root != node]]
+            held = kept = len(a[0])
+    if held:
+        node, root = _forest(np.concatenate(a), np.concatenate(b))
+        a, b = root[root != node], node[root != node]
+        for k in range(0, len(a), 1 << 16):
+            yield _pair_batch(a[k : k + (1 << 16)], b[k : k + (1 << 16)])
+
+
+def components(links: DataFrame) -> DataFrame:
     """(node, comp): each node of ``links`` (a, b) with the smallest node it is connected to.
 
-    ``known`` has the classes of a part of the links, from which the rounds then go on.
-
-    Rounds of taking the smallest neighbour and jumping along it; every round is written
-    out, and the number of rounds grows with the logarithm of the longest chain.
+    Each task first replaces its links by stars. Then come rounds of taking the smallest
+    neighbour and jumping along it; every round is written out, and the number of rounds
+    grows with the logarithm of the longest chain.
     """
-    edges = links.select(F.col("a").alias("x"), F.col("b").alias("y"))
+    edges = links.mapInArrow(_local_forest, _PAIRS).select(F.col("a").alias("x"), F.col("b").alias("y"))
     edges = materialize(edges.union(edges.select("y", "x")).distinct(), "edges")
     nodes = edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("x")).alias("comp"))
-    if known is not None:
-        before = known.select("node", F.col("comp").alias("before"))
-        nodes = nodes.join(before, "node", "left").select("node", F.coalesce("before", "comp").alias("comp"))
     nodes = materialize(nodes, "components")
     while True:
         near = edges.join(nodes.select(F.col("node").alias("y"), F.col("comp").alias("near")), "y")
@@ -376,6 +404,17 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
             return nodes
 
 
+def merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` classes (node, comp) after further ``links``, which are solved between classes alone."""
+    for end in ("a", "b"):
+        of_end = known.select(F.col("node").alias(end), F.col("comp").alias("class"))
+        links = links.join(of_end, end, "left").withColumn(end, F.coalesce("class", end)).drop("class")
+    moved = components(links.filter("a != b").select("a", "b"))
+    renamed = moved.select(F.col("node").alias("comp"), F.col("comp").alias("after"))
+    before = known.join(renamed, "comp", "left").select("node", F.coalesce("after", "comp").alias("comp"))
+    return materialize(before.union(moved.join(known, "node", "left_anti").select("node", "comp")), "components")
+
+
 def link_classes(
     docs: DataFrame, width: int = SHINGLE, over: int = OVER, under: int = UNDER
 ) -> DataFrame:
@@ -403,9 +442,8 @@ def link_classes(
     order = ["shingle", "n", "set_id"]
     ranged = index.repartition("shingle").sortWithinPartitions(*order)
     pairs = materialize(_chosen(ranged.mapInArrow(partial(_first_pairs, bounds), _FIRST)), "pairs")
-    checked, links = pairs, materialize(_verified(docs, sets, pairs, width, bounds), "links")
-
-    classes = components(links)
+    checked = pairs
+    classes = components(materialize(_verified(docs, sets, pairs, width, bounds), "links"))
     for nearest in (True, True, False):
         labelled = index.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
         labelled = labelled.withColumn("comp", F.coalesce("comp", "set_id"))
@@ -422,8 +460,7 @@ def link_classes(
         checked = checked.union(pairs)
         found = materialize(_verified(docs, sets, pairs, width, bounds), "links")
         if not found.isEmpty():
-            links = links.union(found)
-            classes = components(links, classes)
+            classes = merged(classes, found)
 
     of_set = sets.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
     of_set = of_set.select("set_key", "label", F.coalesce("comp", "set_id").alias("comp"))
