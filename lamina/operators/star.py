@@ -51,7 +51,7 @@ def dimension_rows(
     rows = silver.select(
         natural_key().alias(DIMENSION_KEY), *[F.col(src).alias(name) for name, src in dim.attributes.items()]
     )
-    if _checked(grain) == KEY:
+    if checked_grain(grain) == KEY:
         rows = rows.distinct()
     return rows.withColumns(load_stamp(load_ts))
 
@@ -78,7 +78,7 @@ def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE, small:
     ``small`` says that ``facts`` are few enough to broadcast: the dimensions are
     then scanned but not shuffled. Only the key grain keeps them few.
     """
-    _checked(grain)
+    checked_grain(grain)
     joined = facts
     for dim in DIMENSIONS:
         matched_on = [DIMENSION_KEY] if grain == LINE else [DIMENSION_KEY, *dim.attributes]
@@ -90,7 +90,7 @@ def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE, small:
     return joined.select(*[c for c in INVOICE_FACT_TABLE.schema.names if c in joined.columns])
 
 
-def _checked(grain: str) -> str:
+def checked_grain(grain: str) -> str:
     if grain not in (LINE, KEY):
         raise ValueError(f"grain must be {LINE!r} or {KEY!r}, not {grain!r}")
     return grain

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from lamina.functions import now
 from lamina.operators import cleaning
 from lamina.operators.incremental import is_small, new_rows
-from lamina.operators.star import DIMENSIONS, KEY, Dimension, dimension_rows, fact_rows, star
+from lamina.operators.star import DIMENSIONS, KEY, LINE, Dimension, checked_grain, dimension_rows, fact_rows, star
 from lamina.operators.surrogate import next_id, sparse_ids
 from lamina.schemas import (
     INVOICE,
@@ -30,7 +30,10 @@ from lamina.sources.tables import Load, Warehouse
 
 
 def load_bronze(wh: Warehouse, incoming: DataFrame, small: bool = False) -> Load:
-    """Append unseen invoices as they are; new columns are added to the table."""
+    """Append unseen invoices as they are; new columns are added to the table.
+
+    Lines without an invoice number would be unseen for ever: they are rejected and counted.
+    """
     unseen = new_rows(incoming, wh.scan(INVOICE), INVOICE.load_key, small)
     return wh.append(INVOICE, unseen, evolve=True)
 
@@ -59,8 +62,10 @@ def load_dimension(
     grain: str = KEY,
     small: bool = False,
 ) -> Load:
+    """Lines of unseen keys first, then (at key grain) the few that are left without repeats."""
     stored = wh.scan(dim.table)
-    unseen = new_rows(dimension_rows(silver, dim, load_ts, grain), stored, dim.table.load_key, small)
+    unseen = new_rows(dimension_rows(silver, dim, load_ts, LINE), stored, dim.table.load_key, small)
+    unseen = unseen.distinct() if checked_grain(grain) == KEY else unseen
     return wh.append(dim.table, sparse_ids(unseen, dim.id_col, next_id(stored, dim.id_col)), load_ts)
 
 
@@ -115,7 +120,8 @@ def run_increment(
     Every layer works on ``bronze`` instead of its whole stored input, so a run
     costs the increment and a scan of one key column per target; the targets are
     not shuffled for an increment small enough to broadcast. ``bronze`` must not
-    change while this runs: pass a stored table. The bronze table comes last.
+    change while this runs, and holds no stored invoice: pass a stored table that
+    ``new_rows`` made. The bronze table comes last and takes it without another comparison.
     Until it has the invoices, an increment that was cut short is found new
     again, and the other tables drop what they already have.
     """
@@ -123,7 +129,7 @@ def run_increment(
     silver = cleaning.route(cleaning.silver_typed(bronze, load_ts))
     silver_loads = _side_by_side(wh, _silver_loads(wh, silver, load_ts, small))
     gold_loads = load_gold(wh, load_ts, silver, grain, small)
-    return [*silver_loads, *gold_loads, load_bronze(wh, bronze, small)]
+    return [*silver_loads, *gold_loads, wh.append(INVOICE, bronze, evolve=True)]
 
 
 def resolved_facts(wh: Warehouse) -> DataFrame:

@@ -239,6 +239,19 @@ def oracle_sql() -> dict[str, str]:
             select {_BRONZE}, null, null, null, null from dated
               where INVOICENO in (select INVOICENO from {stored_bronze})"""
         ),
+        "bronze_csv_by_name": _after(
+            f"""select {_BRONZE}, cast(LINENUMBER as varchar) as LINENUMBER from dated
+              where INVOICENO not in (select INVOICENO from {stored_bronze})
+            union all
+            select {_BRONZE}, null from dated where INVOICENO in (select INVOICENO from {stored_bronze})"""
+        ),
+        "stream_csv_by_name": _after(
+            f"""select {_BRONZE}, cast(LINENUMBER as varchar) as LINENUMBER from dated
+              where INVOICENO not in (select INVOICENO from {stored_bronze})
+            union all
+            select {_BRONZE}, null from dated where INVOICENO in (select INVOICENO from {stored_bronze})"""
+        ),
+        "distinct_products": _after("select distinct STOCKCODE, COUNTRY from silver"),
         "emptiness_probe": _after(
             """select 'INVOICE' as table_name, not exists (select 1 from invoice) as is_empty
             union all select 'INVOICE_GOLD', true union all select 'COUNTRY_DIM', true"""

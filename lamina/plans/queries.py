@@ -295,6 +295,12 @@ def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
     return fact_rows(_silver(spark, folder), STAMP).distinct()
 
 
+@query
+def distinct_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Which products were sold to which countries: far fewer rows than lines."""
+    return _silver(spark, folder).select("STOCKCODE", "COUNTRY").distinct()
+
+
 # Constraints and profile
 
 
@@ -337,6 +343,33 @@ def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv_folder(spark, path)
 
 
+@query
+def bronze_csv_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Two CSV deliveries with their columns in other orders, the later one with a column more."""
+    wh, path = _warehouse(spark), fresh_path(spark, "csv")
+    lines = invoice_lines(spark, folder, ["LINENUMBER"])
+    names = [c for c in lines.columns if c != "LINENUMBER"]
+    write_csv_folder(_stored_bronze(lines).select(*reversed(names)), f"{path}/first")
+    write_csv_folder(lines.select("LINENUMBER", *names[3:], *names[:3]), f"{path}/second")
+    for delivery in ("first", "second"):
+        load_bronze(wh, read_csv_folder(spark, f"{path}/{delivery}"))
+    return wh.scan(INVOICE)
+
+
+@query
+def stream_csv_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The same deliveries through the streaming load, each from its own folder."""
+    wh, path = _warehouse(spark), fresh_path(spark, "arrivals")
+    lines = invoice_lines(spark, folder, ["LINENUMBER"])
+    names = [c for c in lines.columns if c != "LINENUMBER"]
+    write_csv_folder(_stored_bronze(lines).select(*reversed(names)), f"{path}/first")
+    write_csv_folder(lines.select("LINENUMBER", *names[3:], *names[:3]), f"{path}/second")
+    for delivery in ("first", "second"):
+        stream = arriving_lines(spark, f"{path}/{delivery}")
+        start_incremental_load(wh, stream, fresh_path(spark, "stream"), STAMP, once=True).awaitTermination()
+    return wh.scan(INVOICE)
+
+
 @query
 def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     wh = _warehouse(spark)

@@ -12,8 +12,8 @@ class Table:
     """A stored table.
 
     ``load_key`` is the column that decides whether an incoming row is already
-    stored. A column declared not nullable is required: rows without it are
-    rejected at load. ``foreign_keys`` maps a column to (table, column).
+    stored. It and every column declared not nullable are required: rows without
+    them are rejected at load. ``foreign_keys`` maps a column to (table, column).
     """
 
     name: str
@@ -26,7 +26,7 @@ class Table:
 
     @property
     def required(self) -> list[str]:
-        return [f.name for f in self.schema if not f.nullable]
+        return [f.name for f in self.schema if not f.nullable or f.name == self.load_key]
 
 
 def _columns(*specs: tuple) -> T.StructType:

@@ -1,27 +1,53 @@
-"""Folders of CSV files with a header line."""
+"""Folders of CSV files with a header line, read by the names in it."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lamina.schemas import INVOICE
 
 
+def header_schema(spark: SparkSession, folder: str, declared: T.StructType) -> T.StructType:
+    """The columns of a file's header in their order: known names (without case) in their
+    declared type, others as text. Only one header line is read; without a file, ``declared``.
+    """
+    try:
+        names = spark.read.option("header", True).csv(folder).columns
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return declared
+    types = {f.name.upper(): f.dataType for f in declared}
+    return T.StructType([T.StructField(n, types.get(n.upper(), T.StringType())) for n in names])
+
+
+def declared_names(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """``df`` with known columns spelled as declared."""
+    spelled = {name.upper(): name for name in declared.names}
+    return df.toDF(*[spelled.get(c.upper(), c) for c in df.columns])
+
+
 def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType | None = INVOICE.schema) -> DataFrame:
-    """All CSV files of ``folder``.
+    """All CSV files of ``folder``, which share one header.
 
-    With a schema there is one pass and a value that does not fit becomes NULL.
-    ``schema=None`` infers the types, which reads everything once more; use it
-    for a delivery whose columns are not known.
+    With a schema there is one pass: columns are found by name, whatever their order,
+    unknown ones arrive as text, and a value that does not fit becomes NULL. A file
+    whose header differs from the others' raises. ``schema=None`` infers the types,
+    which reads everything once more.
     """
-    return with_header(spark.read, schema).csv(folder)
+    if schema is None:
+        return with_header(spark.read, None).csv(folder)
+    return declared_names(with_header(spark.read, header_schema(spark, folder, schema)).csv(folder), schema)
 
 
 def with_header(reader, schema: T.StructType | None):
-    """Options shared by batch and stream readers."""
+    """Options shared by batch and stream readers. A file has to have the header that ``schema`` names."""
     reader = reader.option("header", True)
-    return reader.option("inferSchema", True) if schema is None else reader.schema(schema)
+    if schema is None:
+        return reader.option("inferSchema", True)
+    return reader.schema(schema).option("enforceSchema", False)
 
 
 def write_csv_folder(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:

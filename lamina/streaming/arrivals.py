@@ -12,22 +12,21 @@ from lamina.operators.incremental import new_rows
 from lamina.operators.star import KEY
 from lamina.plans.layers import run_increment
 from lamina.schemas import INVOICE
-from lamina.sources.csv_files import with_header
+from lamina.sources.csv_files import declared_names, header_schema, with_header
 from lamina.sources.tables import Warehouse
 
 INTERVAL = "60 seconds"
 
 
-def arriving_lines(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType = INVOICE.schema,
-    max_files: int | None = None,
-) -> DataFrame:
-    reader = with_header(spark.readStream, schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder)
+def arriving_lines(spark: SparkSession, folder: str, schema: T.StructType = INVOICE.schema) -> DataFrame:
+    """The files of ``folder`` by the names in their header, as it is when the query starts.
+
+    A file that arrives with another header fails the query; started again, or on a folder
+    of that delivery, it takes the new columns. A trigger takes all files that are there:
+    lines of one invoice in two files must not fall into two triggers, where the second
+    would find the invoice stored.
+    """
+    return declared_names(with_header(spark.readStream, header_schema(spark, folder, schema)).csv(folder), schema)
 
 
 def start_incremental_load(
@@ -40,14 +39,14 @@ def start_incremental_load(
 ) -> StreamingQuery:
     """Push each micro-batch through all layers.
 
-    The unseen rows of a batch are written to a folder of that batch, and all
-    layers work on this copy. The bronze table takes them last, so a batch that
-    is repeated after a failure starts from the same rows. ``checkpoint`` is a
+    The unseen rows of a batch are written to a folder, which the next batch writes
+    anew, and all layers work on this copy. The bronze table takes them last, so a
+    batch that is repeated after a failure starts from the same rows. ``checkpoint`` is a
     folder all executors share. ``once`` takes what is there and stops.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        staged = f"{checkpoint}/staged/batch-{batch_id}"
+        staged = f"{checkpoint}/staged"
         new_rows(batch, wh.scan(INVOICE), INVOICE.load_key).write.mode("overwrite").parquet(staged)
         run_increment(wh, wh.spark.read.schema(batch.schema).parquet(staged), load_ts, grain)
 

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 from lamina.plans.layers import resolved_facts
@@ -57,3 +58,15 @@ def test_files_go_through_all_layers_once(spark, folder, warehouse, monkeypatch)
 
     take().awaitTermination()
     assert warehouse.scan(INVOICE).count() == 6000
+
+
+def test_one_invoice_in_two_files(spark, folder, warehouse):
+    """Lines of one invoice that arrive together are all stored, and one staged copy stays at most."""
+    lines = invoice_lines(spark, folder).filter("INVOICENO like '1%'").cache()
+    inbox, checkpoint = fresh_path(spark, "inbox"), fresh_path(spark, "checkpoint")
+    for half in (0, 1):
+        write_csv_folder(lines.filter(f"xxhash64(STOCKCODE, QUANTITY) % 2 in ({half}, {-half})"), f"{inbox}/{half}")
+    stream = arrivals.arriving_lines(spark, f"{inbox}/*")
+    arrivals.start_incremental_load(warehouse, stream, checkpoint, STAMP, once=True).awaitTermination()
+    assert warehouse.scan(INVOICE).count() == lines.count()
+    assert not [f for f in os.listdir(f"{checkpoint}/staged") if f.startswith("batch")]

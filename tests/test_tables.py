@@ -151,3 +151,23 @@ def test_shared_folder_is_the_configured_one(monkeypatch, tmp_path):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(_Session(None, "yarn"))
     assert shared_folder(_Session(None, "local[2]")) == shared_folder(_Session(None, "local[2]"))
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Country,CHANNEL,QUANTITY,INVOICENO\nX,web,2,7\n")
+    found = read_csv_folder(spark, str(tmp_path))
+    assert [(f.name, f.dataType.simpleString()) for f in found.schema] == [
+        ("COUNTRY", "string"), ("CHANNEL", "string"), ("QUANTITY", "int"), ("INVOICENO", "string"),
+    ]
+    assert rows(found) == [("X", "web", 2, "7")]
+    assert rows(found.select("INVOICENO")) == [("7",)]
+    (tmp_path / "b.csv").write_text("Country,QUANTITY,CHANNEL,INVOICENO\nX,2,web,7\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_folder(spark, str(tmp_path)).collect()
+
+
+def test_lines_without_an_invoice_number_are_rejected_each_time(spark, warehouse):
+    lines = spark.createDataFrame([("1", "a"), (None, "b")], "INVOICENO string, STOCKCODE string")
+    first, second = load_bronze(warehouse, lines), load_bronze(warehouse, lines)
+    assert (first.stored, first.rejected, second.stored, second.rejected) == (1, 1, 0, 1)
+    assert warehouse.scan(INVOICE).count() == 1
