@@ -303,3 +303,28 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, folder):
         assert after.columns == docs.columns
         docs = after
     assert 0.6 * total < docs.count() < total
+
+
+def test_classes_of_links_in_parts(spark):
+    """Chains, stars and later links against plain union-find; no links at all give no classes."""
+    random = np.random.default_rng(5)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    first = chain + [(7, i) for i in range(200, 230)] + [tuple(p) for p in random.integers(300, 360, (30, 2)).tolist()]
+    first = [(min(p), max(p)) for p in first if p[0] != p[1]]
+    later = [(150, 215), (340, 900), (901, 902)]
+
+    def plain(links):
+        root = {n: n for p in links for n in p}
+        for _ in root:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return sorted(root.items())
+
+    def frame(links):
+        return spark.createDataFrame(links, "a long, b long").repartition(5)
+
+    known = jaccard_join.components(frame(first))
+    assert sorted(map(tuple, known.collect())) == plain(first)
+    after = jaccard_join.merged(known, frame(later))
+    assert sorted(map(tuple, after.collect())) == plain(first + later)
+    assert jaccard_join.components(frame([])).isEmpty()
