@@ -3,8 +3,9 @@
 A text is a vector of hashed n-grams of two and three bytes over its lower-cased letters
 (everything in ASCII that is no letter is one space), weighted by tf-idf and normalised.
 Each language has several centroids, clustered by cosine. The nearest centroid names the
-language; a text farther from it than any training text of the cluster, by a margin, is
-rejected.
+language; a text farther from it than nearly all training texts of the cluster is rejected:
+its cosine is below ``MARGIN`` of their ``LOW`` quantile. The cosine of a training text is
+to the others of its cluster without itself, so few rows do not look closer than they are.
 
 The document frequencies come from all training rows. The centroids are fitted on a
 bounded sample of them: about ``SAMPLE`` rows, spread evenly over the languages and
@@ -33,8 +34,11 @@ from lamina.llm.common import slices, texts_of
 FEATURES = 4096
 #: Training rows that the centroids are fitted on, and clusters per language.
 SAMPLE, CLUSTERS = 3000, 4
-#: A text is rejected below this share of the least similarity in the training cluster.
-MARGIN = 0.1
+#: A text is rejected below this share of this quantile of the cosines in the training cluster.
+MARGIN, LOW = 0.7, 0.01
+#: Rows that the quantile is taken from at least: of the cluster, or else of its language, or else of all,
+#: and rows of a cluster that counts there. The fewer stand apart, so their cosines tell nothing of others.
+ENOUGH, FEW = 100, 20
 NO_LANGUAGE = "und"
 
 _BYTES, _ROWS = 1_000_000, 256
@@ -99,6 +103,27 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray,
     return centroids, (vectors @ centroids.T).argmax(axis=1)
 
 
+def cosines_to_others(vectors: np.ndarray, member: np.ndarray, k: int) -> list[np.ndarray]:
+    """The cosine of each unit vector to its cluster without itself, by cluster; none for a row alone."""
+    sums = np.zeros((k, vectors.shape[1]))
+    np.add.at(sums, member, vectors)
+    along = (vectors @ sums.T)[np.arange(len(vectors)), member]
+    rest = np.sqrt(np.maximum((sums**2).sum(axis=1)[member] - 2 * along + 1, 1e-12))
+    near, size = np.clip((along - 1) / rest, 0.0, 1.0), np.bincount(member, minlength=k)
+    return [near[member == c] if size[c] > 1 else np.empty(0) for c in range(k)]
+
+
+def limits(near: list[np.ndarray], languages: list[str]) -> np.ndarray:
+    """The least cosine at which each cluster accepts a text, from the cosines of its training rows."""
+    out = []
+    for cosines, language in zip(near, languages):
+        same = [n for n, name in zip(near, languages) if name == language and len(n) >= FEW]
+        every = [n for n in near if len(n) >= FEW]
+        pools = [(cosines, ENOUGH), *((np.concatenate([*p, []]), n) for p, n in ((same, ENOUGH), (every, 1), (near, 1)))]
+        out.append(next((np.quantile(p, LOW) for p, n in pools if len(p) >= n), 1.0))
+    return MARGIN * np.array(out)
+
+
 def fit(
     docs: DataFrame, training: Column, language: str = "lang", sample: int = SAMPLE, clusters: int = CLUSTERS
 ) -> Centroids | None:
@@ -148,20 +173,20 @@ def fit(
 
     drawn = rows.filter(taken).select("language", "text").mapInArrow(vectors, "language string, vector binary")
     drawn = sorted((r.language, bytes(r.vector)) for r in drawn.collect())  # about ``sample`` rows
-    centroids, names, least = [], [], []
+    centroids, names, near = [], [], []
     for name in sorted(sizes):
         own = np.array([np.frombuffer(v, np.float32) for n, v in drawn if n == name], np.float64)
         own = own[np.linalg.norm(own, axis=1) > 0] if len(own) else own
         if not len(own):
             continue
         found, member = cluster(own, clusters)
-        near = (own @ found.T)[np.arange(len(own)), member]
+        cosines = cosines_to_others(own, member, len(found))
         for c in range(len(found)):
             if (member == c).any():
                 centroids.append(found[c])
                 names.append(name)
-                least.append(MARGIN * near[member == c].min())
-    return Centroids(idf, np.array(centroids), names, np.array(least)) if names else None
+                near.append(cosines[c])
+    return Centroids(idf, np.array(centroids), names, limits(near, names)) if names else None
 
 
 def _draw() -> Column:

@@ -219,6 +219,39 @@ def test_language_centroids(spark, folder, edge, none):
     assert language.predict(edge, None).filter("not lid_rejected").count() == 0
 
 
+def test_language_rejects_foreign_texts(spark, folder):
+    """Random letters and languages that were not learned go; held-out documents of learned ones stay."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    held_out = F.col("doc_id") % 4 == 2
+    random = np.random.default_rng(6)
+    foreign = ["".join(map(chr, random.integers(97, 123, n))) for n in (6, 60, 600)]
+    foreign += [" ".join(foreign[2][i : i + 7] for i in range(0, 600, 7)), hashlib.sha256(b"").hexdigest()]
+    foreign += ["Minden ember szabadnak születik és egyenlő méltósága és joga van.", "Все люди рождаются свободными"]
+    more = spark.createDataFrame([(4 * i + 2, t, None) for i, t in enumerate(foreign, 10**9)], docs.schema)
+    model = language.fit(docs, ~held_out)
+    found = language.predict(docs.filter(held_out).union(more), model).collect()
+    assert {r.lid_rejected for r in found if r.doc_id >= 10**9} == {True}
+    own = [r for r in found if r.doc_id < 10**9]
+    assert {r.lang for r in own} == set(model.languages)
+    assert not any(r.lid_rejected for r in own if r.text and len(r.text) > 100)
+    for name in sorted(set(model.languages)):
+        unlearned = language.predict(docs.filter(F.col("lang") == name), language.fit(docs, F.col("lang") != name))
+        assert unlearned.agg(F.avg(F.col("lid_rejected").cast("int"))).first()[0] > 0.98
+
+
+def test_one_odd_row_does_not_move_the_limit():
+    random = np.random.default_rng(7)
+    rows = np.abs(random.normal(1, 0.2, (300, 50)))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    odd = np.vstack([rows, np.eye(50)[:1]])
+    whole, with_odd = (
+        language.limits(language.cosines_to_others(v, np.zeros(len(v), int), 1), ["en"])[0] for v in (rows, odd)
+    )
+    assert 0.6 < with_odd <= whole < 0.7 and whole - with_odd < 0.02
+    apart = language.cosines_to_others(odd, np.r_[np.zeros(300, int), 1], 2)
+    assert language.limits(apart, ["en", "en"]) == pytest.approx([whole, whole])
+
+
 def test_toxicity(spark, edge, none):
     clean, toxic = "the quiet river runs by", "you are a vile idiot"
     rows = [(i, f"{toxic if i % 4 == 0 else clean} number {i}") for i in range(400)]
