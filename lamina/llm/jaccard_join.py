@@ -20,6 +20,11 @@ Two set relations skip work:
 Every pair that goes on is verified on the full sets, so the result is exact up to
 collisions of 64-bit shingle hashes.
 
+The links themselves lie within classes. ``link_counts`` cuts each class into blocks by set
+size and compares all sets of two blocks at once, as a product of incidence matrices; block
+pairs that sizes rule out are no rows. Each pair of blocks is a row group of its own, so a
+large class is spread over tasks. Its work grows with the square of the sets of a class.
+
 Null and word-less texts have the empty set, link with nothing and are a class of their
 own. A text with fewer words than a shingle is one shingle. Rows with a null doc_id get
 the class of an equal set that has one, else a null class. Rows that share a doc_id link
@@ -35,7 +40,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.common import coded, record, slices, starts_of, texts_of, words_of
@@ -46,8 +51,10 @@ SHINGLE = 3
 OVER, UNDER = 90, 100
 #: Hashed counters of shingles (fixed size), and 64-bit words of a signature.
 COUNTERS, SIGNATURE = 1 << 18, 16
-#: Entries of a list that are compared, or skipped, at once.
+#: Entries of a list, or sets of a class, that are compared, or skipped, at once.
 BLOCK = 256
+#: Shingles of a pair of blocks in one matrix product.
+COLUMNS = 8192
 
 # Odd multipliers of the words of a shingle, and of the finishing mix.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -316,19 +323,8 @@ def _verified(
     docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, bounds: _Bounds
 ) -> DataFrame:
     """The pairs that link, checked on the full sets, which are made anew for the documents concerned."""
-
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            found = [own.tobytes() for own in _shingles(texts_of(part), width)]
-            keep = [_key(own) == key for own, key in zip(found, part.column("set_key").to_pylist())]
-            made = pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(found, pa.binary())], ["set_id", "own"])
-            yield made.filter(pa.array(keep, pa.bool_()))
-
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    wanted = sets.join(wanted, "set_id", "left_semi").withColumnRenamed("label", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    made = texts.join(wanted, "doc_id").select("set_id", "set_key", "text").mapInArrow(full, "set_id long, own binary")
-    made = materialize(made.dropDuplicates(["set_id"]), "full-sets")
+    made = materialize(_full_sets(docs, sets.join(wanted, "set_id", "left_semi"), width), "full-sets")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,6 +340,22 @@ def _verified(
     return pairs.join(left, "a").join(right, "b").mapInArrow(linked, _PAIRS)
 
 
+def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(set_id, own): the shingles of each of the ``wanted`` sets, made anew from a document that holds it."""
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [own.tobytes() for own in _shingles(texts_of(part), width)]
+            keep = [_key(own) == key for own, key in zip(found, part.column("set_key").to_pylist())]
+            made = pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(found, pa.binary())], ["set_id", "own"])
+            yield made.filter(pa.array(keep, pa.bool_()))
+
+    wanted = wanted.withColumnRenamed("label", "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    made = texts.join(wanted, "doc_id").select("set_id", "set_key", "text").mapInArrow(full, "set_id long, own binary")
+    return made.dropDuplicates(["set_id"])
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nodes of some links, and the smallest node each is connected to by them."""
     nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -415,17 +427,111 @@ def merged(known: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(before.union(moved.join(known, "node", "left_anti").select("node", "comp")), "components")
 
 
+def _block_links(bounds: _Bounds, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each set of a pair of blocks, the documents of the sets of the other block that it links with."""
+    for part in _groups(batches, ["comp", "low", "high"]):
+        n, copies, ids, second = (part.column(c).to_numpy() for c in ("n", "copies", "set_id", "second"))
+        flat = np.frombuffer(b"".join(part.column("own").to_pylist()), np.uint64)
+        _, codes, held = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = held > 1
+        row, codes = np.repeat(np.arange(len(n)), n)[shared[codes]], (np.cumsum(shared) - 1)[codes[shared[codes]]]
+        order = np.argsort(codes, kind="stable")
+        row, codes = row[order], codes[order]
+        x = np.flatnonzero(second == 0)
+        y = np.flatnonzero(second == 1) if second.any() else x
+        both = np.zeros((len(x), len(y)), np.float32)
+        for start in range(0, int(shared.sum()), COLUMNS):
+            a, b = np.searchsorted(codes, [start, start + COLUMNS])
+            held = np.zeros((len(n), min(COLUMNS, int(codes[-1]) + 1 - start)), np.float32)
+            held[row[a:b], codes[a:b] - start] = 1
+            both += held[x] @ held[y].T
+        linked = (bounds.over + bounds.under) * both.astype(np.int64) >= bounds.over * (n[x][:, None] + n[y][None, :])
+        if second.any():
+            ids, links = np.r_[ids[x], ids[y]], np.r_[linked @ copies[y], copies[x] @ linked]
+        else:
+            np.fill_diagonal(linked, False)
+            links = linked @ copies
+        yield pa.RecordBatch.from_pydict({"set_id": ids, "links": links.astype(np.int64)})
+
+
+def _set_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int, bounds: _Bounds) -> DataFrame:
+    """(set_id, links): how many documents hold another set that the set links with. Sets without any are left out."""
+    members = sets.select("set_id", "n", "copies").join(classes.withColumnRenamed("node", "set_id"), "set_id")
+    place = F.row_number().over(Window.partitionBy("comp").orderBy("n", "set_id")) - 1
+    members = materialize(members.withColumn("block", F.floor(place / BLOCK).cast("int")), "members")
+    blocks = members.groupBy("comp", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    low = blocks.select("comp", F.col("block").alias("low"), F.col("most").alias("low_most"))
+    high = blocks.select("comp", F.col("block").alias("high"), F.col("least").alias("high_least"))
+    meet = low.join(high, "comp").filter("low <= high")
+    # Sizes rise from block to block.
+    meet = meet.filter(F.col("high_least") * bounds.over <= F.col("low_most") * bounds.under).select("comp", "low", "high")
+    made = materialize(_full_sets(docs, sets.join(classes, sets["set_id"] == classes["node"], "left_semi"), width), "full-sets")
+    light = members.join(meet.withColumn("block", F.col("low")), ["comp", "block"]).withColumn("second", F.lit(0))
+    other = members.join(meet.filter("low < high").withColumn("block", F.col("high")), ["comp", "block"])
+    light = light.union(other.withColumn("second", F.lit(1)))
+    rows = light.join(made, "set_id").select("comp", "low", "high", "second", "set_id", "n", "copies", "own")
+    grouped = rows.repartition("comp", "low", "high").sortWithinPartitions("comp", "low", "high", "second", "set_id")
+    found = grouped.mapInArrow(partial(_block_links, bounds), "set_id long, links long")
+    return found.groupBy("set_id").agg(F.sum("links").alias("links"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of one key at a time."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        new = np.zeros(table.num_rows - 1, bool)
+        for key in keys:
+            own = table.column(key).to_numpy()
+            new |= own[1:] != own[:-1]
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield table.slice(a, b - a)
+        rest = table.slice(cuts[-1])
+    if rest is not None:
+        yield rest
+
+
 def link_classes(
     docs: DataFrame, width: int = SHINGLE, over: int = OVER, under: int = UNDER
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of each document."""
+    light, sets, classes = _solved(docs, width, over, under)
+    return _of_documents(light, sets, classes).select("doc_id", "n_shingles", "component_id")
+
+
+def link_counts(
+    docs: DataFrame, width: int = SHINGLE, over: int = OVER, under: int = UNDER
+) -> DataFrame:
+    """``link_classes`` with n_links, the number of other documents that each links with.
+
+    Every row with a doc_id is a document, so a text that stands in several rows counts as
+    often. Rows without a doc_id are not counted; where the class is null, so is n_links.
+    """
+    light, sets, classes = _solved(docs, width, over, under)
+    links = _set_links(docs, sets, classes, width, _Bounds(over, under))
+    found = _of_documents(light, sets.join(links, "set_id", "left"), classes)
+    own = F.col("doc_id").isNotNull().cast("long")
+    n_links = F.when(
+        F.col("n_shingles") > 0, F.col("copies") - own + F.when(F.col("copies") > 0, F.coalesce("links", F.lit(0)))
+    ).when(F.col("doc_id").isNotNull(), 0)
+    return found.select("doc_id", "n_shingles", "component_id", n_links.cast("long").alias("n_links"))
+
+
+def _solved(docs: DataFrame, width: int, over: int, under: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A row per document, a row per distinct set, and the class (node, comp) of each set with links."""
     bounds = _Bounds(over, under)
     light = materialize(describe(docs, shingle_counts(docs, width), width, over, under), "sets")
     # Equal sets are one; its label is the smallest doc_id that has it. Numbers are fixed by writing them.
-    sets = light.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("label"))
+    sets = light.filter("n_shingles > 0").groupBy("set_key").agg(
+        F.min("doc_id").alias("label"), F.first("n_shingles").alias("n"), F.count("doc_id").alias("copies")
+    )
     sets = sets.filter("label is not null").withColumn("set_id", F.monotonically_increasing_id())
     sets = materialize(sets, "distinct-sets")
-    own = light.select(F.col("doc_id").alias("label"), "set_key", F.col("n_shingles").alias("n"), "signature", "prefix")
+    own = light.select(F.col("doc_id").alias("label"), "set_key", "signature", "prefix")
     own = own.join(sets, ["label", "set_key"]).dropDuplicates(["set_id"])
     own = materialize(own.select("set_id", "n", "signature", "prefix"), "set-entries")
 
@@ -462,14 +568,18 @@ def link_classes(
         if not found.isEmpty():
             classes = merged(classes, found)
 
+    return light, sets, classes
+
+
+def _of_documents(light: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each document with the columns of its set and component_id."""
     of_set = sets.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left")
-    of_set = of_set.select("set_key", "label", F.coalesce("comp", "set_id").alias("comp"))
+    of_set = of_set.withColumn("comp", F.coalesce("comp", "set_id"))
     smallest = of_set.groupBy("comp").agg(F.min("label").alias("component_id"))
-    of_set = of_set.join(smallest, "comp").select("set_key", "component_id")
-    return light.join(of_set, "set_key", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    of_set = of_set.join(smallest, "comp").drop("comp", "set_id", "n", "label")
+    class_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return light.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left").withColumn(
+        "component_id", class_id
     )
 
 

@@ -65,7 +65,7 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return jaccard_join.link_classes(docs)
+    return jaccard_join.link_counts(docs)
 
 
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:

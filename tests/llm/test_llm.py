@@ -200,6 +200,32 @@ def test_classes_equal_all_pairs(spark, width, over):
     assert sorted(kept) == sorted({label for _, _, label in plain_classes(rows, width, over, 100)})
 
 
+def test_link_counts_equal_all_pairs(spark, monkeypatch):
+    """All links of classes of several blocks and of equal texts, against each pair of rows."""
+    random = np.random.default_rng(8)
+    rows = [(i, t) for i, t in EDGE if i != 10]
+    for size in (40, 60, 200):
+        base = random.integers(0, 400, size).tolist()
+        for _ in range(40):
+            own = list(base[: size - int(random.integers(0, 4))])
+            for at in random.integers(0, len(own), random.integers(0, 2)):
+                own[at] = int(random.integers(0, 400))
+            rows += [(100 + len(rows), " ".join(f"w{x}" for x in own))] * int(random.integers(1, 3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [(i, {tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))} if (w := words(t)) else set()) for i, t in rows]
+    expected = Counter()
+    for at, (i, a) in enumerate(sets):
+        near = [j for other, (j, b) in enumerate(sets) if other != at and a and 100 * len(a & b) >= 90 * len(a | b)]
+        expected[i, len(a), None if i is None else sum(j is not None for j in near)] += 1
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    found = jaccard_join.link_counts(docs)
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    found = found.collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in found) == expected
+    assert max(r.n_links for r in found if r.n_links is not None) > 32
+    assert queries.op5_jaccard_join(spark, "/root/testdata/sf0.001").columns[-1] == "n_links"
+
+
 def test_classes_of_edge_rows(edge, none):
     found = {r.doc_id: r.component_id for r in jaccard_join.link_classes(edge).collect()}
     assert found[5] == found[6] == found[1] == 1 and found[2] == 2 and found[3] == 3 and found[None] is None
