@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from lamina.session import materialize
 
 BITS = 64
+#: Documents whose id is divisible by ``EVERY`` are searched for, among all, within ``RADIUS`` bits.
+RADIUS, EVERY = 3, 20
 
 
 def terms(text: Column) -> Column:
@@ -172,18 +174,31 @@ def _following(heads: DataFrame, value: str, name: str) -> DataFrame:
     return heads.select("bucket", following.alias(name))
 
 
+def near_counts(found: DataFrame, wanted: Column, radius: int = RADIUS) -> DataFrame:
+    """(fingerprint, near): rows of ``found`` within ``radius`` bits of each fingerprint of the ``wanted`` rows."""
+    copies = found.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+    pairs = search(found.filter(wanted), found, radius).withColumnRenamed("found", "fingerprint")
+    return pairs.join(copies, "fingerprint").groupBy(F.col("query").alias("fingerprint")).agg(F.sum("copies").alias("near"))
+
+
 def edit_likeness(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each document and its edited text, with their likeness to it and to the next document's."""
+    """Fingerprints of each document and its edited text, with their likeness to it and to the next document's.
+
+    n_near is the number of other documents within ``RADIUS`` bits, for ids divisible by ``EVERY``; else null.
+    """
     found = materialize(edited_documents(docs), "fingerprints")
     heads = found.groupBy("bucket").agg(F.min_by("fingerprint", "place").alias("head"))
     row = Window.partitionBy("bucket").orderBy("place")
     following = F.coalesce(F.lead("fingerprint").over(row), F.col("head_after"))
-    return found.join(_following(heads, "head", "head_after"), "bucket").select(
+    wanted = F.coalesce(F.col("doc_id") % EVERY == 0, F.lit(False))
+    placed = found.join(_following(heads, "head", "head_after"), "bucket").withColumn("next", following)
+    return placed.join(near_counts(found, wanted), "fingerprint", "left").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         text_form(F.col("fingerprint")).alias("fingerprint"),
         text_form(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), following).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
+        F.when(wanted, F.col("near") - 1).alias("n_near"),
     )

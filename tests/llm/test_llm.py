@@ -337,6 +337,16 @@ def test_edit_likeness(spark, edge, none):
     assert simhash.edit_likeness(edge).count() == len(EDGE) and simhash.edit_likeness(none).count() == 0
 
 
+def test_near_documents_equal_all_pairs(spark, folder):
+    found = queries.op3_simhash(spark, folder).select("doc_id", "fingerprint", "n_near").collect()
+    own = [int(r.fingerprint, 16) for r in found]
+    for r, a in zip(found, own):
+        near = sum((a ^ b).bit_count() <= simhash.RADIUS for b in own) - 1
+        assert r.n_near == (near if r.doc_id % simhash.EVERY == 0 else None)
+    copies = spark.createDataFrame([(i, "a b c d" if i < 50 else f"e {i} f") for i in (*range(60), 20)], "doc_id long, text string")
+    assert {r.n_near for r in simhash.edit_likeness(copies).collect() if r.doc_id in (0, 20, 40)} == {50}
+
+
 def test_nearest_neighbours(spark, folder):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]),
             (6, [1.0, None]), (7, [-1.0, 0.0]), (8, [1.0]), (None, [9.0, 9.0])]
