@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lamina.llm import (
     ann,
     byte_ids,
+    collocations,
     jaccard_join,
     language,
     markov,
@@ -102,9 +103,13 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.top_phrases(_table(spark, folder, "documents").select("text", "lang"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_markov, op2_segment_bpe, op3_simhash, op4_language, op5_jaccard_join, op6_token_files,
-    op7_ann, op8_warc_archive, op9_packing, op10_toxicity,
+    op7_ann, op8_warc_archive, op9_packing, op10_toxicity, op11_collocations,
 )}
 
 
