@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import (
+    alignment,
     ann,
     byte_ids,
     collocations,
@@ -107,9 +108,15 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.top_phrases(_table(spark, folder, "documents").select("text", "lang"))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(_table(spark, folder, "documents").select("doc_id", "text"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_markov, op2_segment_bpe, op3_simhash, op4_language, op5_jaccard_join, op6_token_files,
     op7_ann, op8_warc_archive, op9_packing, op10_toxicity, op11_collocations,
+    op13_alignment,
 )}
 
 
