@@ -4,12 +4,14 @@ Both tokenizers cover a space and the text byte for byte. Where tokens of both e
 byte, a group ends; two tokens are linked where their byte ranges overlap. The count of an
 id pair is the number of documents that hold it linked.
 
-* First pass: documents are aligned and give their distinct id pairs. A minimal perfect hash
-  is built over all distinct pairs, bucket by bucket in tasks of their own: in each level a
-  bit marks a place that exactly one of the keys left falls on, and the number of bits before
-  it is the key's index. The keys are kept by index, so every lookup is verified.
-* Counts: a task counts its documents in one dense vector by index; the vectors are cut into
-  blocks and added up as a tree, first within groups of tasks, then over the groups.
+* First pass: documents are aligned, and each task writes the id pairs it met with the number
+  of its documents that hold them.
+* Hash: a minimal perfect hash is built over all distinct pairs, bucket by bucket in tasks of
+  their own: in each level a bit marks a place that exactly one of the keys left falls on, and
+  the number of bits before it is the key's index. The keys are kept by index, so every lookup
+  is verified.
+* Counts: the written pairs are counted in one dense vector per task, by index; the vectors
+  are cut into blocks and added up as a tree, first within groups of tasks, then over the groups.
 * Second pass: documents are aligned again and look their links' counts up.
 
 A space between two characters that are not white space always ends a token in both
@@ -33,8 +35,10 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +47,20 @@ from tokenizers import Tokenizer
 
 from lamina.llm.byte_ids import BYTE_BPE, vocabulary_path
 from lamina.llm.common import ragged, record, slices, starts_of, sums
+from lamina.session import materialize
 
 PIECE_BPE = "piece_bpe_32k.model"
 #: Bytes of pieces that a task remembers, and what a piece takes besides its own bytes.
-KEPT_BYTES, PIECE_BYTES = 128_000_000, 300
+KEPT_BYTES, PIECE_BYTES = 96_000_000, 300
 #: Bytes of text that one task works on at once.
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 6_000_000
 #: Pieces that the tokenizers get as one text.
 TOGETHER = 64
 #: Keys of a bucket of the hash on average, places for each key that is left, and most levels.
 BUCKET, PLACES, LEVELS = 4096, 2, 64
 #: Counts in a block of a dense vector, and groups of tasks that are summed first.
 COUNTS, GROUPS = 1 << 16, 8
-#: Pairs that a task holds before it writes the distinct ones.
+#: Pairs that a task holds before it writes them.
 HELD = 1 << 21
 
 # White space as either tokenizer or Python sees it, next to more of it or at an end of the text.
@@ -87,24 +92,28 @@ class Tokens:
         """The ids of a space and each of the texts."""
         raise NotImplementedError
 
-    def spells(self, ids: list[int], text: bytes) -> bool:
-        return ragged(self.flat, self.starts, np.array(ids, np.int64))[0].tobytes() == text
+    def spelt(self, ids: np.ndarray) -> bytes:
+        return ragged(self.flat, self.starts, ids)[0].tobytes()
 
 
 class ByteTokens(Tokens):
+    """The vocabulary file's ids are its merges in their order, so they serve as ranks. Special
+    tokens are no part of the encoding: their strings are plain text."""
+
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
+        tokenizer = Tokenizer.from_file(path)
         values = _byte_values()
-        special = {i: t.content.encode() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        names = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
-        super().__init__([special[i] if i in special else bytes(values[c] for c in n) for i, n in enumerate(names)])
+        special = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
+        names = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
+        pieces = [special[i] if i in special else bytes(values[c] for c in n) for i, n in enumerate(names)]
+        super().__init__(pieces)
+        ranks = {p: i for i, p in enumerate(pieces) if i not in special}
+        self.encoding = tiktoken.Encoding(
+            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        spaced = [" " + t for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
+        return [self.encoding.encode_ordinary(" " + t) for t in texts]
 
 
 class PieceTokens(Tokens):
@@ -132,7 +141,7 @@ class Aligner:
         self.known: dict[str, int] = {}
         self.bytes = 0
         self.groups: list[str] = []
-        self.counts = np.empty((0, 4), np.int64)  # tokens of a, tokens of b, groups, links
+        self.counts = np.empty((0, 4), np.int32)  # tokens of a, tokens of b, groups, links
         self.wrong = np.empty(0, bool)
         self.links = np.empty(0, np.int64)
         self.starts = np.zeros(1, np.int64)
@@ -167,30 +176,33 @@ class Aligner:
         units += [[i] for i in sorted(set(range(len(new))).difference(plain))]
         wrong, order, ids_a, ids_b = np.zeros(len(new), bool), [], [], []
         while units:
-            texts = [" ".join([new[i] for i in unit]) for unit in units]
             again = []
-            for unit, text, x, y in zip(units, texts, self.a.encode(texts), self.b.encode(texts)):
-                spelt = (" " + text).encode()
-                if self.a.spells(x, spelt) and self.b.spells(y, spelt):
-                    order += unit
-                    ids_a.append(x)
-                    ids_b.append(y)
-                elif len(unit) > 1:
-                    again += [[i] for i in unit]
-                else:
-                    wrong[unit] = True
+            for k in range(0, len(units), TOGETHER):
+                some = units[k : k + TOGETHER]
+                texts = [" ".join([new[i] for i in unit]) for unit in some]
+                x, y = self.a.encode(texts), self.b.encode(texts)
+                if not self.spell(texts, x, y):
+                    good = [self.spell(*own) for own in zip(zip(texts), zip(x), zip(y))]
+                    again += [[i] for unit, ok in zip(some, good) if not ok and len(unit) > 1 for i in unit]
+                    wrong[[unit[0] for unit, ok in zip(some, good) if not ok and len(unit) == 1]] = True
+                    some, x, y = ([v for v, ok in zip(values, good) if ok] for values in (some, x, y))
+                order += chain.from_iterable(some)
+                ids_a += chain.from_iterable(x)
+                ids_b += chain.from_iterable(y)
             units = again
-        x, y = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
+        x, y = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         sizes = np.array([len(p.encode()) + 1 for p in new], np.int64)
         order = np.array(order, np.int64)
         ends, ends_x, ends_y = np.cumsum(sizes[order]), np.cumsum(self.a.lengths[x]), np.cumsum(self.b.lengths[y])
-        both = np.intersect1d(ends_x, ends_y, assume_unique=True)
-        if not np.isin(ends, both).all():
-            raise ValueError("a token goes beyond a space that should begin a new one")
         # Each stretch between two ends of any token lies in one token of a and one of b: a link.
-        either = np.union1d(ends_x, ends_y)
+        either = np.sort(np.concatenate([ends_x, ends_y]), kind="stable")
+        twice = np.zeros(len(either), bool)
+        twice[1:] = either[1:] == either[:-1]
+        both, either = either[twice], either[~twice]
+        if not (np.diff(np.searchsorted(both, np.stack([ends - 1, ends]), side="right"), axis=0) == 1).all():
+            raise ValueError("a token goes beyond a space that should begin a new one")
         links = x[np.searchsorted(ends_x, either)] * len(self.b) + y[np.searchsorted(ends_y, either)]
-        counts = np.zeros((len(new), 4), np.int64)
+        counts = np.zeros((len(new), 4), np.int32)
         for column, found in enumerate((ends_x, ends_y, both, either)):
             counts[order, column] = np.diff(np.searchsorted(found, ends, side="right"), prepend=0)
         back = np.zeros(len(new), np.int64)
@@ -205,6 +217,12 @@ class Aligner:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts[:, 3])])
         self.bytes += int(sizes.sum()) + PIECE_BYTES * len(new)
 
+    def spell(self, texts, x, y) -> bool:
+        """Whether the tokens of both have the bytes of a space and each text."""
+        spelt = "".join([" " + t for t in texts]).encode()
+        flat = [np.fromiter(chain.from_iterable(ids), np.int64) for ids in (x, y)]
+        return self.a.spelt(flat[0]) == spelt == self.b.spelt(flat[1])
+
     def _groups(self, x, y, ends_x, ends_y, both, counts, places) -> list[str]:
         """``ids of a|ids of b`` of the groups of each piece, joined by ``;``. ``counts`` groups
         belong to the pieces in the order of the tokens, where each piece has its place, or -1."""
@@ -299,24 +317,31 @@ def _tokens(path_a: str, path_b: str) -> tuple[Tokens, Tokens]:
     return ByteTokens(path_a), PieceTokens(path_b)
 
 
-def distinct_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(key): every id pair that is linked in some piece, once."""
+def linked_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """(key, n): id pairs and how many of a task's documents hold them linked. A task that meets
+    more than ``HELD`` different pairs gives some of them in several rows."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, held = Aligner(*_tokens(path_a, path_b)), np.empty(0, np.int64)
+        aligner = Aligner(*_tokens(path_a, path_b))
+        keys, totals = np.empty(0, np.int64), np.empty(0, np.int64)
         for part in slices(batches, limit=TEXT_BYTES):
-            _, _, first = aligner.pieces(part.column("text"))
-            held = np.unique(np.concatenate([held, aligner.links[aligner.starts[first] :]]))
-            if len(held) > HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(held)], ["key"])
-                held = held[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(held)], ["key"])
+            document, links = _documents_links(aligner, part.column("text"))
+            found, at = np.unique(links, return_inverse=True)
+            once = np.sort(document * (len(found) + 1) + at)
+            once = once[np.r_[True, once[1:] != once[:-1]]] if len(once) else once
+            counts = np.bincount(once % (len(found) + 1), minlength=len(found))
+            keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            totals = np.bincount(at, np.concatenate([totals, counts]), len(keys)).astype(np.int64)
+            if len(keys) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(totals)], ["key", "n"])
+                keys, totals = keys[:0], totals[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(totals)], ["key", "n"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(align, "key long").distinct()
+    return docs.select(F.col("text").cast("string")).mapInArrow(align, "key long, n long")
 
 
 def build_index(pairs: DataFrame) -> PairIndex:
-    """The hash of all distinct ``pairs`` (key), which have to be the same whenever they are read.
+    """The hash of all distinct ``pairs`` (key).
 
     A bucket is built in one task; a row for each comes to the driver, 4 bytes and about
     half a byte a key.
@@ -335,7 +360,7 @@ def build_index(pairs: DataFrame) -> PairIndex:
                 rest = pa.concat_tables([rest, pa.Table.from_batches([batch])])
             key, bucket = (rest.column(c).to_numpy() for c in ("key", "bucket"))
             cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-            cuts = np.r_[0, cuts, len(key)] if batch is None else np.r_[0, cuts]
+            cuts = np.unique(np.r_[0, cuts, len(key)]) if batch is None else np.r_[0, cuts]
             for a, b in zip(cuts, cuts[1:]):
                 levels = [level.tobytes() for level in bucket_levels(key[a:b])]
                 yield pa.RecordBatch.from_pydict(
@@ -393,21 +418,18 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _BLOCK = pa.schema([("block", pa.int64()), ("grp", pa.int64()), ("counts", pa.binary())])
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str, index: PairIndex) -> np.ndarray:
-    """How many documents hold each pair linked, by index."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def pair_counts(pairs: DataFrame, index: PairIndex) -> np.ndarray:
+    """The sum of ``n`` of each key of ``pairs`` (key, n), by index."""
+    shared = pairs.sparkSession.sparkContext.broadcast(index)
     n = len(index.keys)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, total = Aligner(*_tokens(path_a, path_b)), np.zeros(-(-n // COUNTS) * COUNTS, np.int64)
-        for part in slices(batches, limit=TEXT_BYTES):
-            document, links = _documents_links(aligner, part.column("text"))
-            distinct, at = np.unique(links, return_inverse=True)
-            found = shared.value.find(distinct)
+        total = np.zeros(-(-n // COUNTS) * COUNTS, np.int64)
+        for batch in batches:
+            found = shared.value.find(batch.column("key").to_numpy())
             if (found < 0).any():
-                raise ValueError("a pair that the first pass did not meet")
-            once = np.unique(document * (len(distinct) + 1) + at) % (len(distinct) + 1)
-            total[found] += np.bincount(once, minlength=len(distinct))
+                raise ValueError("a pair that the hash was not built with")
+            np.add.at(total, found, batch.column("n").to_numpy())
         context = TaskContext.get()
         group = (context.partitionId() if context else 0) % GROUPS
         for block, counts in enumerate(total.reshape(-1, COUNTS)):
@@ -415,7 +437,7 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str, index: PairIndex) ->
                 yield record({"block": [block], "grp": [group], "counts": [_smallest(counts)]}, _BLOCK)
 
     schema = "block long, grp long, counts binary"
-    blocks = docs.select(F.col("text").cast("string")).mapInArrow(count, schema)
+    blocks = pairs.mapInArrow(count, schema)
     by_group = blocks.repartition("block", "grp").sortWithinPartitions("block", "grp").mapInArrow(_added, schema)
     by_block = by_group.withColumn("grp", F.lit(0).cast("long")).repartition("block").sortWithinPartitions("block")
     total = np.zeros(-(-n // COUNTS) * COUNTS, np.int64)
@@ -432,9 +454,9 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     highest of their id of a), count_sum (over links) and groups, or their sha256 with ``digest``."""
     path_a, path_b = path_a or vocabulary_path(BYTE_BPE), path_b or vocabulary_path(PIECE_BPE)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pairs = distinct_pairs(docs, path_a, path_b)
-    index = build_index(pairs)
-    counts = pair_counts(docs, path_a, path_b, index)
+    pairs = materialize(linked_pairs(docs, path_a, path_b), "linked-pairs")
+    index = build_index(materialize(pairs.select("key").distinct(), "distinct-pairs"))
+    counts = pair_counts(pairs, index)
     size_b = len(PieceTokens(path_b))
     highest = np.zeros(int(index.keys.max() // size_b) + 1 if len(index.keys) else 0, np.int64)
     np.maximum.at(highest, index.keys // size_b, counts)
@@ -452,10 +474,13 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
                 of_piece = of_piece[:first]
             distinct, at = np.unique(aligner.links[aligner.starts[first] :], return_inverse=True)
             found = index.find(distinct)
-            if (found < 0).any():
-                raise ValueError("a pair that the first pass did not meet")
-            own = aligner.counts[first:, 3]
-            new = [sums(values[found][at].astype(np.int64), own) for values in (best, counts)]
+            # A pair that no document with tokens holds linked is not in the hash.
+            met, own = found >= 0, aligner.counts[first:, 3]
+            new = []
+            for values in (best, counts):
+                of_pair = np.zeros(len(found), np.int64)
+                of_pair[met] = values[found[met]]
+                new.append(sums(of_pair[at], own))
             of_piece = np.concatenate([of_piece, np.stack(new, axis=1)])
             none = sums(aligner.wrong[numbers].astype(np.int64), lengths) > 0
             none |= pc.fill_null(pc.equal(part.column("text"), ""), True).to_numpy(zero_copy_only=False)
