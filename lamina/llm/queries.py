@@ -20,6 +20,7 @@ from lamina.llm import (
     simhash,
     token_files,
     toxicity,
+    vector_dedup,
     warc_archive,
 )
 from lamina.llm.common import id_remainder
@@ -108,6 +109,10 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.top_phrases(_table(spark, folder, "documents").select("text", "lang"))
 
 
+def op12_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.link_classes(_table(spark, folder, "embeddings"))
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     found = alignment.align(_table(spark, folder, "documents").select("doc_id", "text"), digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
@@ -115,7 +120,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_markov, op2_segment_bpe, op3_simhash, op4_language, op5_jaccard_join, op6_token_files,
-    op7_ann, op8_warc_archive, op9_packing, op10_toxicity, op11_collocations,
+    op7_ann, op8_warc_archive, op9_packing, op10_toxicity, op11_collocations, op12_vector_dedup,
     op13_alignment,
 )}
 
