@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.session import materialize
@@ -25,6 +25,27 @@ def next_id(stored: DataFrame, id_col: str) -> int:
     return 0 if top is None else top + 1
 
 
+def last_id(id_col: str | None) -> Column:
+    """The largest id of the rows an append writes, to be observed by it; NULL for a table without ids."""
+    return F.max(id_col) if id_col else F.lit(None).cast("long")
+
+
+def keyed_ids(df: DataFrame, id_col: str, parts: int, start: int = 0) -> DataFrame:
+    """Unique ids from ``start`` on that follow from the rows: the same distinct rows get the same ids.
+
+    Rows are dealt to ``parts`` tasks by all their columns and sorted there; an id is the row's
+    place times ``parts`` plus the part. One shuffle of the rows, no pass over older ones.
+    """
+    columns = df.columns
+    placed = df.repartition(parts, *columns).sortWithinPartitions(*columns)
+    part = F.pmod(F.hash(*columns), F.lit(parts)).cast("long")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
+    numbered = placed.withColumns({_PART: part, _POSITION: place})
+    return numbered.withColumn(id_col, F.lit(start).cast("long") + F.col(_POSITION) * parts + F.col(_PART)).drop(
+        _PART, _POSITION
+    )
+
+
 def sparse_ids(df: DataFrame, id_col: str, start: int = 0) -> DataFrame:
     """Unique ids from ``start`` on, with gaps. Narrow: no shuffle, no extra pass.
 

@@ -9,18 +9,21 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from lamina.functions import now
+from lamina.functions import natural_key, now
 from lamina.operators import cleaning
-from lamina.operators.incremental import is_small, new_rows
 from lamina.operators.star import DIMENSIONS, KEY, LINE, Dimension, checked_grain, dimension_rows, fact_rows, star
-from lamina.operators.surrogate import next_id, sparse_ids
+from lamina.operators.surrogate import keyed_ids, sparse_ids
 from lamina.schemas import (
+    DIMENSION_KEY,
+    FACT_KEY,
     INVOICE,
     INVOICE_CANCELLED_GOLD,
     INVOICE_CANCELLED_SILVER,
     INVOICE_FACT_TABLE,
     INVOICE_GOLD,
+    INVOICE_KEY,
     INVOICE_SILVER,
     LOAD_DATE,
     TABLES,
@@ -29,13 +32,16 @@ from lamina.schemas import (
 from lamina.sources.tables import Load, Warehouse
 
 
-def load_bronze(wh: Warehouse, incoming: DataFrame, small: bool = False) -> Load:
+#: Smallest and largest load key of an increment, by load key column.
+Bounds = dict[str, tuple[str | None, str | None]]
+
+
+def load_bronze(wh: Warehouse, incoming: DataFrame, load: str | None = None) -> Load:
     """Append unseen invoices as they are; new columns are added to the table.
 
     Lines without an invoice number would be unseen for ever: they are rejected and counted.
     """
-    unseen = new_rows(incoming, wh.scan(INVOICE), INVOICE.load_key, small)
-    return wh.append(INVOICE, unseen, evolve=True)
+    return wh.append_unseen(INVOICE, incoming, load=load, evolve=True)
 
 
 def load_silver(wh: Warehouse, load_ts: datetime | None = None) -> list[Load]:
@@ -48,10 +54,11 @@ def load_gold_invoices(
     wh: Warehouse,
     load_ts: datetime | None = None,
     silver: dict[str, DataFrame] | None = None,
-    small: bool = False,
+    load: str | None = None,
+    bounds: Bounds | None = None,
 ) -> list[Load]:
     """Copy both silver tables to gold under a new load stamp."""
-    return _side_by_side(wh, _gold_invoice_loads(wh, silver or _stored_silver(wh), load_ts, small))
+    return _side_by_side(wh, _gold_invoice_loads(wh, silver or _stored_silver(wh), load_ts, load, bounds))
 
 
 def load_dimension(
@@ -60,13 +67,21 @@ def load_dimension(
     silver: DataFrame,
     load_ts: datetime | None = None,
     grain: str = KEY,
-    small: bool = False,
+    load: str | None = None,
+    bounds: Bounds | None = None,
 ) -> Load:
-    """Lines of unseen keys first, then (at key grain) the few that are left without repeats."""
-    stored = wh.scan(dim.table)
-    unseen = new_rows(dimension_rows(silver, dim, load_ts, LINE), stored, dim.table.load_key, small)
-    unseen = unseen.distinct() if checked_grain(grain) == KEY else unseen
-    return wh.append(dim.table, sparse_ids(unseen, dim.id_col, next_id(stored, dim.id_col)), load_ts)
+    """Lines of unseen keys first, then (at key grain) the few that are left without repeats.
+
+    At key grain ids follow from the rows, so a load that is run again gives the same ones.
+    """
+
+    def numbered(rows: DataFrame, first: int, parts: int) -> DataFrame:
+        if checked_grain(grain) == KEY:
+            return keyed_ids(rows.distinct(), dim.id_col, parts, first)
+        return sparse_ids(rows, dim.id_col, first)
+
+    rows = dimension_rows(silver, dim, load_ts, LINE)
+    return _append_unseen(wh, dim.table, rows, load_ts, load, bounds, numbered)
 
 
 def load_fact(
@@ -74,19 +89,22 @@ def load_fact(
     silver: DataFrame,
     load_ts: datetime | None = None,
     grain: str = KEY,
-    small: bool = False,
+    load: str | None = None,
+    bounds: Bounds | None = None,
 ) -> Load:
     """Unseen lines first, then the star: the joins only carry what will be stored.
 
     No final distinct: the ids make every row different, so it would shuffle
     everything and remove nothing. Ids come last, so every stored row has its own.
+    A key whose lines find no dimension row stays unseen.
     """
     table = INVOICE_FACT_TABLE
-    stored = wh.scan(table)
-    unseen = new_rows(fact_rows(silver, load_ts), stored, table.load_key, small)
     dims = {dim.table.name: wh.scan(dim.table) for dim in DIMENSIONS}
-    rows = star(unseen, dims, grain, small)
-    return wh.append(table, sparse_ids(rows, table.primary_key, next_id(stored, table.primary_key)), load_ts)
+
+    def starred(rows: DataFrame, first: int, parts: int) -> DataFrame:
+        return sparse_ids(star(rows, dims, grain), table.primary_key, first)
+
+    return _append_unseen(wh, table, fact_rows(silver, load_ts), load_ts, load, bounds, starred, drops=True)
 
 
 def load_gold(
@@ -94,14 +112,15 @@ def load_gold(
     load_ts: datetime | None = None,
     silver: dict[str, DataFrame] | None = None,
     grain: str = KEY,
-    small: bool = False,
+    load: str | None = None,
+    bounds: Bounds | None = None,
 ) -> list[Load]:
     """Gold invoices and dimensions, then the fact that looks the dimensions up."""
     silver = silver or _stored_silver(wh)
     lines = silver[INVOICE_SILVER.name]
-    independent = _gold_invoice_loads(wh, silver, load_ts, small)
-    independent += [partial(load_dimension, wh, dim, lines, load_ts, grain, small) for dim in DIMENSIONS]
-    return [*_side_by_side(wh, independent), load_fact(wh, lines, load_ts, grain, small)]
+    independent = _gold_invoice_loads(wh, silver, load_ts, load, bounds)
+    independent += [partial(load_dimension, wh, dim, lines, load_ts, grain, load, bounds) for dim in DIMENSIONS]
+    return [*_side_by_side(wh, independent), load_fact(wh, lines, load_ts, grain, load, bounds)]
 
 
 def run_layers(
@@ -113,23 +132,31 @@ def run_layers(
 
 
 def run_increment(
-    wh: Warehouse, bronze: DataFrame, load_ts: datetime | None = None, grain: str = KEY
+    wh: Warehouse, bronze: DataFrame, load_ts: datetime | None = None, grain: str = KEY, load: str | None = None
 ) -> list[Load]:
     """The same run for one increment of new bronze rows.
 
-    Every layer works on ``bronze`` instead of its whole stored input, so a run
-    costs the increment and a scan of one key column per target; the targets are
-    not shuffled for an increment small enough to broadcast. ``bronze`` must not
-    change while this runs, and holds no stored invoice: pass a stored table that
-    ``new_rows`` made. The bronze table comes last and takes it without another comparison.
-    Until it has the invoices, an increment that was cut short is found new
-    again, and the other tables drop what they already have.
+    Every layer works on ``bronze`` instead of its whole stored input, so a run costs the
+    increment and the stored keys of those loads that its range of keys meets. ``bronze`` must
+    not change while this runs: pass a stored table. The bronze table comes last: until it
+    has the invoices, an increment that was cut short is found new again, and the other
+    tables drop what they already have. Under the same name ``load`` every table takes the
+    increment once.
     """
-    load_ts, small = load_ts or now(wh.spark), is_small(bronze)
+    load_ts = load_ts or now(wh.spark)
+    bounds = key_bounds(bronze)
     silver = cleaning.route(cleaning.silver_typed(bronze, load_ts))
-    silver_loads = _side_by_side(wh, _silver_loads(wh, silver, load_ts, small))
-    gold_loads = load_gold(wh, load_ts, silver, grain, small)
-    return [*silver_loads, *gold_loads, wh.append(INVOICE, bronze, evolve=True)]
+    silver_loads = _side_by_side(wh, _silver_loads(wh, silver, load_ts, load, bounds))
+    gold_loads = load_gold(wh, load_ts, silver, grain, load, bounds)
+    return [*silver_loads, *gold_loads, _append_unseen(wh, INVOICE, bronze, None, load, bounds, evolve=True)]
+
+
+def key_bounds(bronze: DataFrame) -> Bounds:
+    """Smallest and largest invoice number and natural key of an increment: one row, two columns read."""
+    keys = {INVOICE_KEY: F.col(INVOICE_KEY).cast("string"), DIMENSION_KEY: natural_key()}
+    found = bronze.agg(*[f(c).alias(f"{f.__name__}_{n}") for n, c in keys.items() for f in (F.min, F.max)]).first()
+    bounds = {n: (found[f"min_{n}"], found[f"max_{n}"]) for n in keys}
+    return bounds | {FACT_KEY: bounds[DIMENSION_KEY]}
 
 
 def resolved_facts(wh: Warehouse) -> DataFrame:
@@ -146,17 +173,25 @@ def _stored_silver(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def _silver_loads(
-    wh: Warehouse, routed: dict[str, DataFrame], load_ts: datetime | None, small: bool = False
+    wh: Warehouse,
+    routed: dict[str, DataFrame],
+    load_ts: datetime | None,
+    load: str | None = None,
+    bounds: Bounds | None = None,
 ) -> list[Callable[[], Load]]:
-    return [partial(_append_unseen, wh, TABLES[name], rows, load_ts, small) for name, rows in routed.items()]
+    return [partial(_append_unseen, wh, TABLES[name], rows, load_ts, load, bounds) for name, rows in routed.items()]
 
 
 def _gold_invoice_loads(
-    wh: Warehouse, silver: dict[str, DataFrame], load_ts: datetime | None, small: bool = False
+    wh: Warehouse,
+    silver: dict[str, DataFrame],
+    load_ts: datetime | None,
+    load: str | None = None,
+    bounds: Bounds | None = None,
 ) -> list[Callable[[], Load]]:
     targets = {INVOICE_SILVER.name: INVOICE_GOLD, INVOICE_CANCELLED_SILVER.name: INVOICE_CANCELLED_GOLD}
     return [
-        partial(_append_unseen, wh, target, cleaning.gold_invoice(silver[source], load_ts), load_ts, small)
+        partial(_append_unseen, wh, target, cleaning.gold_invoice(silver[source], load_ts), load_ts, load, bounds)
         for source, target in targets.items()
     ]
 
@@ -168,6 +203,15 @@ def _side_by_side(wh: Warehouse, loads: list[Callable[[], Load]]) -> list[Load]:
 
 
 def _append_unseen(
-    wh: Warehouse, table: Table, rows: DataFrame, load_ts: datetime | None, small: bool = False
+    wh: Warehouse,
+    table: Table,
+    rows: DataFrame,
+    load_ts: datetime | None,
+    load: str | None = None,
+    bounds: Bounds | None = None,
+    prepare: Callable[[DataFrame, int, int], DataFrame] | None = None,
+    drops: bool = False,
+    evolve: bool = False,
 ) -> Load:
-    return wh.append(table, new_rows(rows, wh.scan(table), table.load_key, small), load_ts)
+    own = (bounds or {}).get(table.load_key, (None, None)) if table.name not in wh.load_keys else (None, None)
+    return wh.append_unseen(table, rows, load_ts, load, evolve, own, prepare, drops)

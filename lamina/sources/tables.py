@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.operators.evolution import conform, new_columns
 from lamina.operators.profiling import observed
 from lamina.operators.quality import reject_reason
+from lamina.operators.surrogate import last_id
 from lamina.schemas import LOAD_DATE, Table
+from lamina.session import temporary
+from lamina.sources.ledger import KEY, KeyLedger, key_of
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -48,6 +53,7 @@ class Load:
     offered: int
     rejected: int
     nulls: dict[str, int]
+    next_id: int | None = None
 
     @property
     def stored(self) -> int:
@@ -55,10 +61,24 @@ class Load:
 
 
 class Warehouse:
-    """One catalog database per layer, all under one folder that executors share."""
-
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "retail", fmt: str = "parquet"):
+    """One catalog database per layer, all under one folder that executors share.
+
+    ``load_keys`` names other columns than the declared load key for some tables, for example
+    invoice and product, so that late lines of a known invoice are taken. ``buckets`` is the
+    number of buckets of new key ledgers (default: the session's shuffle partitions).
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        prefix: str = "retail",
+        fmt: str = "parquet",
+        load_keys: Mapping[str, Sequence[str]] | None = None,
+        buckets: int | None = None,
+    ):
         self.spark, self.root, self.prefix, self.fmt = spark, root.rstrip("/"), prefix, fmt
+        self.load_keys, self.buckets = dict(load_keys or {}), buckets
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} LOCATION '{self.root}/{layer}'")
 
@@ -68,6 +88,13 @@ class Warehouse:
     def name(self, table: Table) -> str:
         return f"{self.database(table.layer)}.{table.name}"
 
+    def key(self, table: Table) -> Column:
+        """The load key as text."""
+        return key_of(self.load_keys.get(table.name, [table.load_key]))
+
+    def ledger(self, table: Table) -> KeyLedger:
+        return KeyLedger(self.spark, self.name(table), self.buckets)
+
     def exists(self, table: Table) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
@@ -112,7 +139,9 @@ class Warehouse:
             self.add_columns(table, new_columns(df.schema, self.schema(table)))
         rows = conform(df, self.schema(table))
         rejected = reject_reason(table.required).isNotNull()
-        counted, observation = observed(rows, f"load {table.name}", F.count_if(rejected).alias("rejected"))
+        counted, observation = observed(
+            rows, f"load {table.name}", F.count_if(rejected).alias("rejected"), last_id(table.primary_key).alias("last_id")
+        )
         accepted, partition = counted.filter(~rejected), ""
         if table.partition_by and load_ts is not None:
             accepted = accepted.drop(LOAD_DATE)
@@ -124,4 +153,63 @@ class Warehouse:
             offered=metrics["rows"],
             rejected=metrics["rejected"],
             nulls={c: metrics[f"nulls_{c}"] for c in rows.columns},
+            next_id=metrics["last_id"] + 1 if metrics["last_id"] is not None else None,
         )
+
+    def append_unseen(
+        self,
+        table: Table,
+        incoming: DataFrame,
+        load_ts: datetime | None = None,
+        load: str | None = None,
+        evolve: bool = False,
+        bounds: tuple[str | None, str | None] = (None, None),
+        prepare: Callable[[DataFrame, int, int], DataFrame] | None = None,
+        drops: bool = False,
+    ) -> Load:
+        """Append the rows whose load key no finished load brought, all rows of a key together.
+
+        The unseen keys are written first, then the rows that have them, then the load's row in
+        the ledger; a load that is cut short in between is settled by the next one. A load that
+        is finished under the name ``load`` is not run again. ``bounds`` are the smallest and
+        largest key of ``incoming``, where they are known: loads out of reach are not read.
+
+        ``prepare`` gets the unseen rows, the first free id and the ledger's number of buckets (which
+        stays as it is for good), and may add columns; with
+        ``drops`` it may also leave rows out, and keys that have none left stay unseen.
+        Rows that NOT NULL rejects make no key known and are counted whenever they come.
+        """
+        load, ledger, key = load or uuid.uuid4().hex, self.ledger(table), self.key(table)
+        ids = table.primary_key
+        if ledger.exists:
+            ledger.recover(self.scan(table) if self.exists(table) else None, key, ids)
+            if ledger.finished(load):
+                return Load(table.name, 0, 0, {})
+        elif self.exists(table):
+            ledger.adopt(self.scan(table), key, ids)
+        here = [c for c in table.required if c in incoming.columns]
+        rejected = F.lit(False) if not here else reject_reason(here).isNotNull()
+        ledger.open(load, incoming.filter(~rejected).select(key.alias(KEY)), *bounds)
+        first = ledger.next_id() if ids else None
+        rows = with_keys(incoming, key, ledger.opened(load), rejected)
+        if not drops:
+            done = self.append(table, prepare(rows, first, ledger.buckets) if prepare else rows, load_ts, evolve)
+        else:
+            with temporary(prepare(rows, first, ledger.buckets), f"load-{table.name}") as kept:
+                ledger.narrow(load, kept.select(key.alias(KEY)))
+                done = self.append(table, kept, load_ts, evolve)
+        ledger.finish(load, first, max(first, done.next_id or 0) if ids else None)
+        return done
+
+
+def with_keys(incoming: DataFrame, key: Column, keys: DataFrame, also: Column) -> DataFrame:
+    """Rows of ``incoming`` whose key is one of the distinct ``keys``, is NULL, or for which ``also`` holds.
+
+    Only the keys of one load are on the right. Comparing a digest as well gives both sides
+    exchanges of their own, so adaptive execution can split a hot key.
+    """
+    wanted = keys.withColumnRenamed(KEY, "_wanted")
+    marked = incoming.withColumns({"_key": key, "_also": also})
+    same = (F.col("_key") == F.col("_wanted")) & (F.xxhash64("_key") == F.xxhash64("_wanted"))
+    found = marked.join(wanted, same, "left")
+    return found.filter("_wanted is not null or _key is null or _also").drop("_key", "_also", "_wanted")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lamina.operators.incremental import new_rows
 from lamina.operators.star import KEY
 from lamina.plans.layers import run_increment
 from lamina.schemas import INVOICE
@@ -39,16 +39,18 @@ def start_incremental_load(
 ) -> StreamingQuery:
     """Push each micro-batch through all layers.
 
-    The unseen rows of a batch are written to a folder, which the next batch writes
-    anew, and all layers work on this copy. The bronze table takes them last, so a
-    batch that is repeated after a failure starts from the same rows. ``checkpoint`` is a
-    folder all executors share. ``once`` takes what is there and stops.
+    A batch is written to a folder, which the next batch writes anew, and all layers work on
+    this copy: each table drops the keys it knows. Loads are named by stream and batch, so a
+    batch that is repeated after a failure is taken by every table once, and gets the same
+    ids. ``checkpoint`` is a folder all executors share. ``once`` takes what is there and stops.
     """
+    stream = zlib.crc32(checkpoint.encode())
 
     def process(batch: DataFrame, batch_id: int) -> None:
         staged = f"{checkpoint}/staged"
-        new_rows(batch, wh.scan(INVOICE), INVOICE.load_key).write.mode("overwrite").parquet(staged)
-        run_increment(wh, wh.spark.read.schema(batch.schema).parquet(staged), load_ts, grain)
+        batch.write.mode("overwrite").parquet(staged)
+        bronze = wh.spark.read.schema(batch.schema).parquet(staged)
+        run_increment(wh, bronze, load_ts, grain, f"stream-{stream:08x}-{batch_id}")
 
     trigger = {"availableNow": True} if once else {"processingTime": INTERVAL}
     return (

@@ -83,11 +83,7 @@ def test_line_grain_fans_out_like_the_joins(spark, folder, warehouse):
     assert is_empty(repeated_keys(warehouse.scan(INVOICE_FACT_TABLE), "INVOICE_FACT_ID"))
 
 
-@pytest.mark.parametrize("limit", [500_000, 10])
-def test_increments_give_the_same_tables_as_runs(loaded, spark, folder, warehouse, monkeypatch, limit):
-    from lamina.operators import incremental
-
-    monkeypatch.setattr(incremental, "SMALL_INCREMENT", limit)
+def test_increments_give_the_same_tables_as_runs(loaded, spark, folder, warehouse):
     lines = materialize(invoice_lines(spark, folder), "increments")
     early = _stored_bronze(lines)
     late = lines.join(early.select("INVOICENO").distinct(), "INVOICENO", "left_anti").select(*lines.columns)

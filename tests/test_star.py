@@ -71,14 +71,6 @@ def test_line_without_a_dimension_row_is_left_out(spark):
         assert [r.PK_INVOICENO_STOCKCODE for r in facts.collect()] == ["2_b"]
 
 
-def test_small_facts_leave_dimensions_unshuffled(spark):
-    lines = silver(spark, [("1", "a", 1, "X", DAY, "08:26"), ("2", "b", 1, "X", DAY, "08:26")])
-    dims = {d.table.name: dense_ids(dimension_rows(lines, d, STAMP, KEY), d.id_col) for d in DIMENSIONS}
-    facts = star(fact_rows(lines, STAMP), dims, KEY, small=True)
-    assert "BuildLeft" in final_plan(facts)
-    assert facts.count() == 2
-
-
 def test_hot_key_is_split_in_every_join_of_the_key_grain(spark, folder, tmp_path, settings):
     """A third of all lines carry one invoice and one product."""
     from pyspark.sql import functions as F

@@ -31,7 +31,7 @@ def test_files_go_through_all_layers_once(spark, folder, warehouse, monkeypatch)
     write_csv_folder(new_rows(lines, early, "INVOICENO"), f"{inbox}/second")
     whole_run = arrivals.run_increment
 
-    def broken(wh, bronze, load_ts, grain):
+    def broken(wh, bronze, load_ts, grain, load):
         from lamina.operators import cleaning
         from lamina.plans.layers import _append_unseen
 
