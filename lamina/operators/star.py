@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import load_stamp, natural_key
+from lamina.operators.surrogate import keyed_ids
 from lamina.schemas import (
     COUNTRY_DIM,
     DIMENSION_KEY,
+    DIMENSION_MAP,
     FACT_KEY,
     INVOICE_DATE_DIM,
     INVOICE_FACT_TABLE,
@@ -67,6 +70,42 @@ def fact_rows(silver: DataFrame, load_ts: datetime | None = None) -> DataFrame:
     ).withColumns(load_stamp(load_ts))
 
 
+def map_rows(silver: DataFrame) -> DataFrame:
+    """The attributes of all dimensions under each natural key, a row per line."""
+    attributes = {name: src for dim in DIMENSIONS for name, src in dim.attributes.items()}
+    return silver.select(natural_key().alias(DIMENSION_KEY), *[F.col(src).alias(name) for name, src in attributes.items()])
+
+
+def with_dimension_ids(rows: DataFrame, first: int, parts: int) -> DataFrame:
+    """Distinct ``map_rows`` with an id each and the ids of their dimension rows.
+
+    A dimension row is a key with its attribute values; its id is the smallest id of the map rows
+    that have them, so ids follow from the rows and no stored table is read. All windows lie
+    within a key, which the rows are dealt by: one shuffle. A row that lacks an attribute has no
+    row in that dimension.
+    """
+    numbered = keyed_ids(rows.distinct(), DIMENSION_MAP.primary_key, parts, first, [DIMENSION_KEY])
+    ids = {}
+    for dim in DIMENSIONS:
+        same = Window.partitionBy(DIMENSION_KEY, *dim.attributes)
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in dim.attributes])
+        ids[dim.id_col] = F.when(complete, F.min(DIMENSION_MAP.primary_key).over(same))
+    return numbered.withColumns(ids)
+
+
+def mapped(facts: DataFrame, dimension_map: DataFrame) -> DataFrame:
+    """Fact rows with the three dimension ids, by one join on key and attribute values.
+
+    Each line finds at most one row; a line that lacks an attribute is left out. The join has
+    exchanges of its own on both sides, so adaptive execution can split a hot key.
+    """
+    matched = {FACT_KEY: DIMENSION_KEY} | {name: name for dim in DIMENSIONS for name in dim.attributes}
+    ids = [dim.id_col for dim in DIMENSIONS]
+    found = dimension_map.select(*ids, *[F.col(theirs).alias(f"_map_{ours}") for ours, theirs in matched.items()])
+    joined = facts.join(found, [F.col(ours) == F.col(f"_map_{ours}") for ours in matched], "inner")
+    return joined.select(*[c for c in INVOICE_FACT_TABLE.schema.names if c in joined.columns])
+
+
 def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE) -> DataFrame:
     """Fact rows with the three dimension ids; a row without a match in any dimension is left out.
 

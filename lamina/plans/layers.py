@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -11,12 +12,25 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.functions import natural_key, now
+from lamina.functions import load_stamp, natural_key, now
 from lamina.operators import cleaning
-from lamina.operators.star import DIMENSIONS, KEY, LINE, Dimension, checked_grain, dimension_rows, fact_rows, star
+from lamina.operators.star import (
+    DIMENSIONS,
+    KEY,
+    LINE,
+    Dimension,
+    checked_grain,
+    dimension_rows,
+    fact_rows,
+    map_rows,
+    mapped,
+    star,
+    with_dimension_ids,
+)
 from lamina.operators.surrogate import keyed_ids, sparse_ids
 from lamina.schemas import (
     DIMENSION_KEY,
+    DIMENSION_MAP,
     FACT_KEY,
     INVOICE,
     INVOICE_CANCELLED_GOLD,
@@ -26,6 +40,7 @@ from lamina.schemas import (
     INVOICE_KEY,
     INVOICE_SILVER,
     LOAD_DATE,
+    MAP_LOAD,
     TABLES,
     Table,
 )
@@ -84,6 +99,44 @@ def load_dimension(
     return _append_unseen(wh, dim.table, rows, load_ts, load, bounds, numbered)
 
 
+def load_dimension_map(
+    wh: Warehouse, silver: DataFrame, load: str | None = None, bounds: Bounds | None = None
+) -> Load:
+    """The unseen natural keys with their attributes and the ids of all three dimensions.
+
+    Ids follow from the rows and from where the last finished load ended, so a load that is
+    run again gives the same ones. Each load is a partition.
+    """
+    load = load or uuid.uuid4().hex
+
+    def numbered(rows: DataFrame, first: int, parts: int) -> DataFrame:
+        return with_dimension_ids(rows, first, parts).withColumn(MAP_LOAD, F.lit(load))
+
+    return _append_unseen(wh, DIMENSION_MAP, map_rows(silver), None, load, bounds, numbered)
+
+
+def load_mapped_dimension(wh: Warehouse, dim: Dimension, load_ts: datetime | None = None) -> Load:
+    """Append what the map's loads brought since this dimension was loaded last.
+
+    The ids tell how far that is: both grow by load. A load that was cut short after its
+    append is found by its ids in the table, which is all or nothing, and only finished.
+    """
+    ledger, done = wh.ledger(dim.table), Load(dim.table.name, 0, 0, {})
+    if not ledger.exists:
+        ledger.create()
+    since = ledger.next_id()
+    pending = sorted((r for r in wh.ledger(DIMENSION_MAP).loads() if (r.NEXT_ID or 0) > since), key=lambda r: r.NEXT_ID)
+    if not pending:
+        return done
+    first, after = pending[0].FIRST_ID, pending[-1].NEXT_ID
+    if not wh.exists(dim.table) or wh.scan(dim.table).filter(F.col(dim.id_col).between(first, after - 1)).isEmpty():
+        found = wh.scan(DIMENSION_MAP).filter(F.col(MAP_LOAD).isin([r.LOAD for r in pending]))
+        rows = found.select(dim.id_col, DIMENSION_KEY, *dim.attributes).distinct()
+        done = wh.append(dim.table, rows.withColumns(load_stamp(load_ts)), load_ts)
+    ledger.finish(pending[-1].LOAD, first, after)
+    return done
+
+
 def load_fact(
     wh: Warehouse,
     silver: DataFrame,
@@ -92,17 +145,22 @@ def load_fact(
     load: str | None = None,
     bounds: Bounds | None = None,
 ) -> Load:
-    """Unseen lines first, then the star: the joins only carry what will be stored.
+    """Unseen lines first, then their dimension ids: the join only carries what will be stored.
 
-    No final distinct: the ids make every row different, so it would shuffle
-    everything and remove nothing. Ids come last, so every stored row has its own.
-    A key whose lines find no dimension row stays unseen.
+    At key grain that is one join with the dimension map, of which only the loads in reach of
+    the increment's keys are read. No final distinct: the ids make every row different, so it
+    would shuffle everything and remove nothing. Ids come last, so every stored row has its
+    own. A key whose lines find no dimension row stays unseen.
     """
     table = INVOICE_FACT_TABLE
-    dims = {dim.table.name: wh.scan(dim.table) for dim in DIMENSIONS}
 
     def starred(rows: DataFrame, first: int, parts: int) -> DataFrame:
-        return sparse_ids(star(rows, dims, grain), table.primary_key, first)
+        if checked_grain(grain) == KEY:
+            reach = wh.ledger(DIMENSION_MAP).in_reach(*(bounds or {}).get(DIMENSION_KEY, (None, None)))
+            found = mapped(rows, wh.scan(DIMENSION_MAP).filter(F.col(MAP_LOAD).isin(reach)))
+        else:
+            found = star(rows, {dim.table.name: wh.scan(dim.table) for dim in DIMENSIONS}, grain)
+        return sparse_ids(found, table.primary_key, first)
 
     return _append_unseen(wh, table, fact_rows(silver, load_ts), load_ts, load, bounds, starred, drops=True)
 
@@ -118,9 +176,14 @@ def load_gold(
     """Gold invoices and dimensions, then the fact that looks the dimensions up."""
     silver = silver or _stored_silver(wh)
     lines = silver[INVOICE_SILVER.name]
-    independent = _gold_invoice_loads(wh, silver, load_ts, load, bounds)
-    independent += [partial(load_dimension, wh, dim, lines, load_ts, grain, load, bounds) for dim in DIMENSIONS]
-    return [*_side_by_side(wh, independent), load_fact(wh, lines, load_ts, grain, load, bounds)]
+    invoices = _gold_invoice_loads(wh, silver, load_ts, load, bounds)
+    if checked_grain(grain) == KEY:
+        first = _side_by_side(wh, [*invoices, partial(load_dimension_map, wh, lines, load, bounds)])
+        dims = [partial(load_mapped_dimension, wh, dim, load_ts) for dim in DIMENSIONS]
+        last = _side_by_side(wh, [*dims, partial(load_fact, wh, lines, load_ts, grain, load, bounds)])
+        return [*first, *last]
+    dims = [partial(load_dimension, wh, dim, lines, load_ts, grain, load, bounds) for dim in DIMENSIONS]
+    return [*_side_by_side(wh, [*invoices, *dims]), load_fact(wh, lines, load_ts, grain, load, bounds)]
 
 
 def run_layers(

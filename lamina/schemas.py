@@ -146,6 +146,28 @@ INVOICE_FACT_TABLE = Table(
     partition_by=_BY_LOAD,
 )
 
+#: One row per natural key and attribute values, with the ids of its rows in the three dimensions.
+MAP_LOAD = "MAP_LOAD"
+DIMENSION_MAP = Table(
+    "DIMENSION_MAP",
+    "gold",
+    _columns(
+        ("MAP_ID", LONG),
+        ("FK_INVOICENO_STOCKCODE", STRING, "required"),
+        ("FECHA_INVOICE", DATE),
+        ("HORA_MINUTO", STRING),
+        ("COUNTRY", STRING),
+        ("STOCKCODE", STRING),
+        ("INVOICE_DATE_ID", LONG),
+        ("COUNTRY_ID", LONG),
+        ("PRODUCT_ID", LONG),
+        (MAP_LOAD, STRING),
+    ),
+    DIMENSION_KEY,
+    primary_key="MAP_ID",
+    partition_by=(MAP_LOAD,),
+)
+
 TABLES = {
     t.name: t
     for t in (
@@ -157,6 +179,7 @@ TABLES = {
         INVOICE_DATE_DIM,
         COUNTRY_DIM,
         PRODUCT_DIM,
+        DIMENSION_MAP,
         INVOICE_FACT_TABLE,
     )
 }

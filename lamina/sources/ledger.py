@@ -87,16 +87,19 @@ class KeyLedger:
         replaced = {load for row in self._finished() for load in row.REPLACES or ()}
         return [row for row in self._finished() if row.LOAD not in replaced]
 
-    def stored(self, low: str | None = None, high: str | None = None) -> DataFrame | None:
-        """The keys of all finished loads, or of those that may hold a key from ``low`` to ``high``.
-
-        None when no load can hold one: there is nothing to read.
-        """
-        meeting = [
+    def in_reach(self, low: str | None = None, high: str | None = None) -> list[str]:
+        """The loads that may hold a key from ``low`` to ``high``; keys compare as the bytes of their text."""
+        return [
             row.LOAD
             for row in self.loads()
-            if row.KEYS and (low is None or row.HIGH.encode() >= low.encode()) and (high is None or row.LOW.encode() <= high.encode())
+            if row.KEYS
+            and (low is None or row.HIGH.encode() >= low.encode())
+            and (high is None or row.LOW.encode() <= high.encode())
         ]
+
+    def stored(self, low: str | None = None, high: str | None = None) -> DataFrame | None:
+        """The keys of all finished loads, or of those ``in_reach``; None when there is nothing to read."""
+        meeting = self.in_reach(low, high)
         return self._keys(meeting) if meeting else None
 
     def _keys(self, loads: Sequence[str]) -> DataFrame:

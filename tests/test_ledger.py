@@ -5,10 +5,17 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators.star import COUNTRY, DIMENSIONS
-from lamina.plans.layers import key_bounds, load_bronze, load_dimension, run_layers
+from lamina.operators.star import COUNTRY, DIMENSIONS, fact_rows, map_rows, mapped, with_dimension_ids
+from lamina.plans.layers import (
+    key_bounds,
+    load_bronze,
+    load_dimension,
+    load_dimension_map,
+    load_mapped_dimension,
+    run_layers,
+)
 from lamina.plans.queries import _silver, _warehouse
-from lamina.schemas import COUNTRY_DIM, INVOICE, INVOICE_FACT_TABLE
+from lamina.schemas import COUNTRY_DIM, DIMENSION_MAP, INVOICE, INVOICE_FACT_TABLE
 from lamina.sources import tables
 from lamina.sources.invoices import invoice_lines
 from lamina.sources.ledger import KEY, KeyLedger
@@ -178,11 +185,62 @@ def test_fact_key_without_a_dimension_row_stays_unseen(spark, folder, warehouse)
 
     lines = _silver(spark, folder)
     assert load_fact(warehouse, lines, STAMP).stored == 0
-    for dim in DIMENSIONS:
-        load_dimension(warehouse, dim, lines, STAMP)
+    load_dimension_map(warehouse, lines)
     assert load_fact(warehouse, lines, STAMP).stored == 4190
 
 
+def test_fact_needs_one_join_with_the_map(spark, folder, warehouse, settings):
+    lines = _silver(spark, folder)
+    load_dimension_map(warehouse, lines)
+    path = warehouse.root + "/lines"
+    lines.write.parquet(path)
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    facts = mapped(fact_rows(spark.read.parquet(path), STAMP), warehouse.scan(DIMENSION_MAP))
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Exchange") == 2
+    assert facts.count() == 4190
+
+
+def test_map_ids_are_one_per_dimension_row(spark):
+    day = "2010-12-01"
+    lines = [("1", "a", "X", day, "08:26"), ("1", "a", "Y", day, "08:26"), ("1", "a", "Y", day, "08:26"),
+             ("1", "a", "X", day, "08:27"), ("2", "a", "X", None, None)]
+    frame = spark.createDataFrame(lines, "INVOICENO string, STOCKCODE string, COUNTRY string, d string, HORA_MINUTO_VARCHAR string")
+    frame = frame.withColumn("FECHA_INVOICE", F.col("d").cast("date"))
+    found = with_dimension_ids(map_rows(frame), 100, 4)
+    got = found.collect()
+    assert len(got) == 4 == len({r.MAP_ID for r in got}) and min(r.MAP_ID for r in got) >= 100
+    for dim in DIMENSIONS:
+        values = {(r.FK_INVOICENO_STOCKCODE, *[r[c] for c in dim.attributes]): set() for r in got}
+        for r in got:
+            values[r.FK_INVOICENO_STOCKCODE, *[r[c] for c in dim.attributes]].add(r[dim.id_col])
+        assert all(len(ids) == 1 for ids in values.values())
+        filled = [next(iter(ids)) for key, ids in values.items() if None not in key]
+        assert len(set(filled)) == len(filled) and all(v is not None for v in filled)
+    assert [r.INVOICE_DATE_ID for r in got if r.FECHA_INVOICE is None] == [None]
+    assert rows(with_dimension_ids(map_rows(frame.repartition(3)), 100, 4)) == rows(found)
+
+
+@pytest.mark.parametrize("step", ["before", "after"])
+def test_dimension_cut_short_is_finished_once(spark, folder, warehouse, monkeypatch, step):
+    lines = _silver(spark, folder)
+    load_dimension_map(warehouse, lines.filter("INVOICENO like '1%'"))
+    load_mapped_dimension(warehouse, COUNTRY, STAMP)
+    load_dimension_map(warehouse, lines)
+    with monkeypatch.context() as patch:
+
+        def killed(*_, **__):
+            raise RuntimeError("lost the driver here")
+
+        patch.setattr(*((Warehouse, "append") if step == "before" else (KeyLedger, "finish")), killed)
+        with pytest.raises(RuntimeError, match="lost the driver"):
+            load_mapped_dimension(warehouse, COUNTRY, STAMP)
+    for _ in range(2):
+        load_mapped_dimension(warehouse, COUNTRY, STAMP)
+    stored = warehouse.scan(COUNTRY_DIM).select("FK_INVOICENO_STOCKCODE", "COUNTRY")
+    assert rows(stored) == rows(lines.selectExpr("INVOICENO || '_' || STOCKCODE", "COUNTRY").distinct())
+
+
 def test_bounds_of_an_increment(spark):
     frame = spark.createDataFrame([("2", "b"), ("10", "a"), (None, "c"), ("3", None)], "INVOICENO string, STOCKCODE string")
     bounds = key_bounds(frame)
