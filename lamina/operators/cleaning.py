@@ -15,6 +15,7 @@ from lamina.functions import (
     time_of_day,
     to_working_decimal,
 )
+from lamina.operators.evolution import with_rescued
 from lamina.schemas import INVOICE, INVOICE_CANCELLED_SILVER, INVOICE_SILVER
 
 REQUIRED_COLUMNS = INVOICE.schema.names
@@ -58,9 +59,10 @@ def silver_typed(bronze: DataFrame, load_ts: datetime | None = None) -> DataFram
     """Typed lines in stored column order. One narrow pass: no shuffle, no Python.
 
     Required values are tested before the casts, so a line whose number does not
-    convert is kept with NULL.
+    convert is kept with NULL. Values that bronze could not keep in their column's type
+    are taken as they arrived.
     """
-    lines = with_invoice_dates(project_required(bronze)).withColumns(load_stamp(load_ts))
+    lines = with_invoice_dates(project_required(with_rescued(bronze))).withColumns(load_stamp(load_ts))
     lines = cast_numbers(fill_description(drop_incomplete(lines)))
     return lines.select(*INVOICE_SILVER.schema.names)
 

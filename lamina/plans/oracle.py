@@ -268,5 +268,38 @@ def oracle_sql() -> dict[str, str]:
               cast(QUANTITY as decimal(38,0)) as QUANTITY, UNITPRICE, FECHA_DE_CARGA
             from line where FECHA_INVOICE is not null"""
         ),
+        "bronze_types_kept": _after(
+            f"""select INVOICENO, STOCKCODE, coalesce(DESCRIPTION, 'SIN_DESCRIPCION') as DESCRIPTION,
+              try_cast(case when INVOICENO in (select INVOICENO from {stored_bronze}) then cast(QUANTITY as varchar)
+                when CUSTOMERID % 3 = 0 then cast(QUANTITY + 0.5 as varchar) else cast(QUANTITY as varchar) end
+                as decimal(10,2)) as QUANTITY,
+              case when INVOICENO not in (select INVOICENO from {stored_bronze}) and CUSTOMERID % 7 = 0 then null
+                else try_cast(cast(UNITPRICE as varchar) as decimal(10,2)) end as UNITPRICE,
+              COUNTRY, FECHA_INVOICE, HORA_MINUTO_VARCHAR, date '2024-01-31' as FECHA_DE_CARGA, '12:34' as HORA_DE_CARGA
+            from dated where INVOICENO is not null and STOCKCODE is not null and QUANTITY is not null
+              and UNITPRICE is not null and COUNTRY is not null"""
+        ),
+        "fact_by_map": _after(
+            """select K as PK_INVOICENO_STOCKCODE, FECHA_INVOICE, HORA_MINUTO_VARCHAR as HORA_MINUTO, COUNTRY, STOCKCODE,
+              cast(QUANTITY as decimal(38,0)) as QUANTITY, UNITPRICE, FECHA_DE_CARGA
+            from line where FECHA_INVOICE is not null"""
+        ),
+        "dimension_map": _after(
+            """select distinct K as FK_INVOICENO_STOCKCODE, FECHA_INVOICE, HORA_MINUTO_VARCHAR as HORA_MINUTO, COUNTRY,
+              STOCKCODE, case when FECHA_INVOICE is not null then true end as INVOICE_DATE_ID_FITS,
+              true as COUNTRY_ID_FITS, true as PRODUCT_ID_FITS from line"""
+        ),
+        "ids_by_load": _after(
+            " union all ".join(
+                f"""select '{table}' as TABLE_NAME, case when K in (select K from stored_line) then 0 else 1 end
+                  as LOAD_NUMBER, count(*) as ROW_COUNT, count(*) as ID_COUNT from ({rows}) group by all"""
+                for table, rows in (
+                    ("INVOICE_DATE_DIM", "select distinct K, FECHA_INVOICE, HORA_MINUTO_VARCHAR from line where FECHA_INVOICE is not null"),
+                    ("COUNTRY_DIM", "select distinct K, COUNTRY from line"),
+                    ("PRODUCT_DIM", "select distinct K, STOCKCODE from line"),
+                    ("INVOICE_FACT_TABLE", "select K from line where FECHA_INVOICE is not null"),
+                )
+            )
+        ),
         "stream_incremental": _after(f"select {stored_columns} from silver"),
     }

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import load_stamp, natural_key
@@ -27,10 +28,18 @@ from lamina.operators.star import (
     star,
 )
 from lamina.operators.surrogate import dense_ids, next_id
-from lamina.plans.layers import load_bronze, resolved_facts, run_layers
+from lamina.plans.layers import (
+    load_bronze,
+    load_dimension_map,
+    load_fact,
+    load_mapped_dimension,
+    resolved_facts,
+    run_layers,
+)
 from lamina.schemas import (
     COUNTRY_DIM,
     DIMENSION_KEY,
+    DIMENSION_MAP,
     FACT_KEY,
     INVOICE,
     INVOICE_FACT_TABLE,
@@ -40,7 +49,9 @@ from lamina.schemas import (
 from lamina.session import fresh_path, materialize
 from lamina.sources.csv_files import read_csv_folder, write_csv_folder
 from lamina.sources.invoices import EXTRA_COLUMNS, invoice_lines
-from lamina.sources.tables import Warehouse, is_empty
+from lamina.sources.ledger import KEY as LEDGER_KEY
+from lamina.sources.ledger import key_of
+from lamina.sources.tables import Warehouse, is_empty, with_keys
 from lamina.streaming.arrivals import arriving_lines, start_incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,22 +166,33 @@ def silver_cancelled(spark: SparkSession, folder: str) -> DataFrame:
 # Incremental loads by invoice
 
 
+def _unseen(lines: DataFrame, stored: DataFrame) -> DataFrame:
+    """The lines whose invoice is not in the key ledger that ``stored`` left."""
+    wh, key = _warehouse(lines.sparkSession), key_of([INVOICE.load_key])
+    ledger = wh.ledger(INVOICE)
+    for load, rows in (("stored", stored), ("new", lines)):
+        ledger.open(load, rows.select(key.alias(LEDGER_KEY)))
+        if load == "stored":
+            ledger.finish(load)
+    return with_keys(lines, key, ledger.opened("new"), F.lit(False))
+
+
 @query
 def incr_bronze(spark: SparkSession, folder: str) -> DataFrame:
     lines = invoice_lines(spark, folder)
-    return new_rows(lines, _stored_bronze(lines), INVOICE.load_key)
+    return _unseen(lines, _stored_bronze(lines))
 
 
 @query
 def incr_silver(spark: SparkSession, folder: str) -> DataFrame:
     lines = _silver(spark, folder)
-    return new_rows(lines, _stored(lines), INVOICE.load_key)
+    return _unseen(lines, _stored(lines))
 
 
 @query
 def incr_cancelled(spark: SparkSession, folder: str) -> DataFrame:
     lines = _cancelled(spark, folder)
-    return new_rows(lines, _stored(lines), INVOICE.load_key)
+    return _unseen(lines, _stored(lines))
 
 
 @query
@@ -181,7 +203,7 @@ def gold_invoice(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def incr_gold(spark: SparkSession, folder: str) -> DataFrame:
     lines = gold_invoice(spark, folder)
-    return new_rows(lines, _stored(lines), INVOICE.load_key)
+    return _unseen(lines, _stored(lines))
 
 
 @query
@@ -290,6 +312,56 @@ def incr_fact(spark: SparkSession, folder: str) -> DataFrame:
     return conform(star(numbered, dims), INVOICE_FACT_TABLE.schema)
 
 
+def _loaded_facts(spark: SparkSession, folder: str) -> tuple[Warehouse, DataFrame]:
+    """Dimension map, dimensions and facts of two increments of silver lines."""
+    wh, lines = _warehouse(spark), materialize(_silver(spark, folder), "silver")
+    for part in (_stored(lines), lines):
+        load_dimension_map(wh, part)
+        for dim in DIMENSIONS:
+            load_mapped_dimension(wh, dim, STAMP)
+        load_fact(wh, part, STAMP)
+    return wh, lines
+
+
+@query
+def fact_by_map(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads through the dimension map; the facts with their ids looked up in the dimensions."""
+    return resolved_facts(_loaded_facts(spark, folder)[0])
+
+
+@query
+def dimension_map(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of the map: its rows, and whether each id stands for one row of its dimension."""
+    wh, lines = _warehouse(spark), materialize(_silver(spark, folder), "silver")
+    load_dimension_map(wh, _stored(lines))
+    load_dimension_map(wh, lines)
+    found = wh.scan(DIMENSION_MAP)
+    for dim in DIMENSIONS:
+        same = Window.partitionBy(dim.id_col)
+        values = F.struct(DIMENSION_KEY, *dim.attributes)
+        one = F.when(F.col(dim.id_col).isNull(), None).otherwise(F.min(values).over(same) == F.max(values).over(same))
+        found = found.withColumn(f"{dim.id_col}_FITS", one)
+    attributes = [name for dim in DIMENSIONS for name in dim.attributes]
+    return found.select(DIMENSION_KEY, *attributes, *[f"{dim.id_col}_FITS" for dim in DIMENSIONS])
+
+
+@query
+def ids_by_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and ids of each table and load, and the ids outside the range that the load took."""
+    wh, _ = _loaded_facts(spark, folder)
+    parts = []
+    for table in [dim.table for dim in DIMENSIONS] + [INVOICE_FACT_TABLE]:
+        ranges = [(r.FIRST_ID, r.NEXT_ID) for r in wh.ledger(table).loads() if r.NEXT_ID > r.FIRST_ID]
+        taken = [(i, *r) for i, r in enumerate(sorted(ranges))]
+        loads = spark.createDataFrame(taken, "LOAD_NUMBER int, FIRST_ID long, NEXT_ID long")  # one row per load
+        own = wh.scan(table).select(F.lit(table.name).alias("TABLE_NAME"), F.col(table.primary_key).alias("ID"))
+        inside = (F.col("ID") >= F.col("FIRST_ID")) & (F.col("ID") < F.col("NEXT_ID"))
+        parts.append(own.join(F.broadcast(loads), inside, "left").groupBy("TABLE_NAME", "LOAD_NUMBER").agg(
+            F.count("*").alias("ROW_COUNT"), F.countDistinct("ID").alias("ID_COUNT")
+        ))
+    return reduce(DataFrame.union, parts)
+
+
 @query
 def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
     return fact_rows(_silver(spark, folder), STAMP).distinct()
@@ -404,6 +476,21 @@ def schema_evolve_append(spark: SparkSession, folder: str) -> DataFrame:
     return wh.scan(INVOICE)
 
 
+@query
+def bronze_types_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """A later delivery has halves among the quantities and text among the prices: the silver lines they give."""
+    wh, path = _warehouse(spark), fresh_path(spark, "csv")
+    lines = invoice_lines(spark, folder)
+    odd = {
+        "QUANTITY": F.when(F.col("CUSTOMERID") % 3 == 0, F.col("QUANTITY") + 0.5).otherwise(F.col("QUANTITY") + 0.0),
+        "UNITPRICE": F.when(F.col("CUSTOMERID") % 7 == 0, "n/a").otherwise(F.col("UNITPRICE").cast("string")),
+    }
+    load_bronze(wh, _stored_bronze(lines))
+    write_csv_folder(lines.withColumns(odd), path)
+    load_bronze(wh, read_csv_folder(spark, path, schema=None))
+    return cleaning.silver_typed(wh.scan(INVOICE), STAMP)
+
+
 @query
 def emptiness_probe(spark: SparkSession, folder: str) -> DataFrame:
     """A filled table, a table that was only created, and a table that does not exist."""

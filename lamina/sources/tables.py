@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators.evolution import conform, new_columns
+from lamina.operators.evolution import RESCUED, RESCUED_TYPE, conform, lossy_columns, new_columns
 from lamina.operators.profiling import observed
 from lamina.operators.quality import reject_reason
 from lamina.operators.surrogate import last_id
@@ -47,13 +47,14 @@ def append_connector(df: DataFrame, fmt: str, options: dict[str, str], table: st
 
 @dataclass(frozen=True)
 class Load:
-    """What one append did: rows offered, rows rejected by NOT NULL, NULLs per column."""
+    """What one append did: rows offered, rows rejected by NOT NULL, NULLs per column, rows with rescued values."""
 
     table: str
     offered: int
     rejected: int
     nulls: dict[str, int]
     next_id: int | None = None
+    rescued: int = 0
 
     @property
     def stored(self) -> int:
@@ -128,20 +129,26 @@ class Warehouse:
     ) -> Load:
         """Append the rows that meet NOT NULL; count offered and rejected rows in the same job.
 
-        A missing table is created first, from the incoming columns if ``evolve``,
-        which also adds unknown columns to a table that exists. ``load_ts``, when
+        A missing table is created first. With ``evolve`` unknown columns are added to it, and
+        values that do not fit a stored column's type are kept as text in a column of their own
+        (and counted), so nothing that arrives is lost. ``load_ts``, when
         all rows carry it, names the one partition that is written; without it
         Spark sorts the rows by partition first.
         """
+        stored = self.schema(table)
+        fresh = new_columns(df.schema, stored) if evolve else []
+        if evolve and RESCUED not in stored.names and lossy_columns(df.schema, stored):
+            fresh.append(T.StructField(RESCUED, RESCUED_TYPE))
         if not self.exists(table):
-            self.create(table, T.StructType([*table.schema, *new_columns(df.schema, table.schema)]) if evolve else None)
-        elif evolve:
-            self.add_columns(table, new_columns(df.schema, self.schema(table)))
+            self.create(table, T.StructType([*table.schema, *fresh]))
+        else:
+            self.add_columns(table, fresh)
         rows = conform(df, self.schema(table))
+        rescued = F.col(RESCUED).isNotNull() if RESCUED in rows.columns else F.lit(False)
         rejected = reject_reason(table.required).isNotNull()
         counted, observation = observed(
-            rows, f"load {table.name}", F.count_if(rejected).alias("rejected"), last_id(table.primary_key).alias("last_id")
-        )
+            rows, f"load {table.name}", F.count_if(rejected).alias("rejected"), last_id(table.primary_key).alias("last_id"), F.count_if(rescued).alias("rescued"),
+        )
         accepted, partition = counted.filter(~rejected), ""
         if table.partition_by and load_ts is not None:
             accepted = accepted.drop(LOAD_DATE)
@@ -154,6 +161,7 @@ class Warehouse:
             rejected=metrics["rejected"],
             nulls={c: metrics[f"nulls_{c}"] for c in rows.columns},
             next_id=metrics["last_id"] + 1 if metrics["last_id"] is not None else None,
+            rescued=metrics["rescued"],
         )
 
     def append_unseen(

@@ -50,4 +50,4 @@ def test_matches_sql(name, spark, folder, duck):
 
 
 def test_entry(spark):
-    assert entry_module.entry(spark).count() == EXPECTED_ROWS["gold_fact"]
+    assert entry_module.entry(spark).count() == EXPECTED_ROWS["gold_fact_per_line"]
