@@ -23,6 +23,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES_KEPT = 1_500_000
+#: Bytes of pieces that a task remembers, and what a piece takes besides its own bytes and ids.
+KEPT_BYTES, PIECE_BYTES = 128_000_000, 150
 
 _CUT = re.compile(r" (?=\S)")
 _INSIDE = re.compile(r"\S+")
@@ -50,6 +52,15 @@ class PieceEncoder(RaggedCache):
         size = self.tokenizer.get_vocab_size()
         self.sizes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
 
+    def forget(self) -> None:
+        super().forget()
+        self.bytes = 0
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.bytes > KEPT_BYTES:
+            self.forget()
+        return super().encode(texts)
+
     def split(self, texts: pa.Array) -> pa.Array:
         return pc.split_pattern(pc.binary_join_element_wise(_BARE, texts, ""), " ")
 
@@ -76,6 +87,7 @@ class PieceEncoder(RaggedCache):
         ends = np.cumsum([1 + len(parts[i].encode()) for i in plain])
         cuts = np.searchsorted(np.cumsum(self.sizes[flat[:together]]), ends) + 1
         lengths = np.concatenate([np.diff(cuts, prepend=0), lengths[len(groups) :]])
+        self.bytes += sum(map(len, parts)) + PIECE_BYTES * len(parts) + 4 * len(flat)
         # Back to the order of the parts.
         back = np.empty(len(parts), np.int64)
         back[plain + rest] = np.arange(len(parts))
