@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,7 +154,7 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 def scan(
     index: Index, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query ids, vec_ids, scores) of the best k of one block for each query, by the adaptive scan.
+    """(places of the queries, vec_ids, scores) of the best k of one block for each query, by the adaptive scan.
 
     All pairs that are still alive go through a column block together.
     """
@@ -186,13 +187,17 @@ def scan(
     counts = np.bincount(q, minlength=len(query_ids))
     place = np.arange(len(q)) - np.repeat(np.cumsum(counts) - counts, counts)
     best = best[place < k]
-    return query_ids[q[best]], ids[v[best]], scores[best]
+    return q[best], ids[v[best]], scores[best]
 
 
 def search(
     vectors: DataFrame, is_query: Column, k: int = 20, probed: float = PROBED, sample: int = SAMPLE
 ) -> DataFrame:
-    """query_id, rank (from 1), vec_id and score of the k nearest found for each row where ``is_query`` holds."""
+    """query_id, rank (from 1), vec_id and score of the k nearest found for each row where ``is_query`` holds.
+
+    Rows equal in vec_id and vector ask once; different vectors under one vec_id each get k rows
+    of their own. Rows that have the query's vec_id are no candidates of it.
+    """
     spark = vectors.sparkSession
     rows = materialize(usable(vectors), "vectors")
     index = fit(rows, sample)
@@ -214,10 +219,13 @@ def search(
                 step = max(1, PAIRS // len(ids))
                 for a in range(0, len(query_ids), step):
                     some = slice(a, a + step)
-                    found = scan(shared.value, query_ids[some], queries[some], ids, stored, k)
-                    yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "vec_id", "score"), found)))
-
-    near = stored.join(asked, "list").mapInArrow(compare, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                    q, v, scores = scan(shared.value, query_ids[some], queries[some], ids, stored, k)
+                    digests = [xxhash.xxh3_64_intdigest(own.tobytes()) for own in queries[some]]
+                    found = (query_ids[some][q], np.array(digests, np.uint64).view(np.int64)[q], v, scores)
+                    yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "query", "vec_id", "score"), found)))
+
+    near = stored.join(asked, "list").mapInArrow(compare, "query_id long, query long, vec_id long, score double")
+    # Two vectors under one id are two queries.
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

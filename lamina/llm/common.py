@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A slice of documents worked on at once ends at this many bytes of text, or this many rows.
-#: It bounds a task's memory; a longer single text is a slice of its own. Results do not depend on it.
+#: It bounds a task's memory; a longer single text is a slice of its own. Only the sequences
+#: of packing, which are made up within a slice, depend on it.
 SLICE_BYTES = 4_000_000
 SLICE_ROWS = 4096
 
@@ -22,6 +23,11 @@ def id_remainder(divisor: int, column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def apart(docs: DataFrame, keep: Sequence[str] = ("doc_id", "text")) -> DataFrame:
+    """``docs`` with all columns but ``keep`` named by their place, so that none clashes with a new one."""
+    return docs.toDF(*[c if c in keep else f"in_{i}" for i, c in enumerate(docs.columns)])
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES, rows: int = SLICE_ROWS
 ) -> Iterator[pa.RecordBatch]:

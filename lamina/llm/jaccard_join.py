@@ -43,10 +43,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.common import coded, record, slices, starts_of, texts_of, words_of
+from lamina.llm.common import apart, coded, record, slices, starts_of, texts_of, words_of
 from lamina.session import materialize
 
 SHINGLE = 3
+_WORD = r"[^\x20\x09-\x0D]"
 #: Linked at 90 / 100 and above.
 OVER, UNDER = 90, 100
 #: Hashed counters of shingles (fixed size), and 64-bit words of a signature.
@@ -584,11 +585,24 @@ def _of_documents(light: DataFrame, sets: DataFrame, classes: DataFrame) -> Data
 
 
 def one_of_each_class(docs: DataFrame, width: int = SHINGLE, over: int = OVER, under: int = UNDER) -> DataFrame:
-    """The documents without those that have a linked document of smaller doc_id.
+    """The first row of each class of links: of smallest doc_id (null last), then of smallest text digest.
 
-    Rows equal in doc_id and text are one document, so one of them stays; a row with a
-    null doc_id always stays.
+    Rows are judged by their own text, so one that shares its doc_id with a copy stays if it is
+    none. Rows equal in doc_id and text are one document. Rows without words are linked with
+    nothing: those with a doc_id stay once each, those without one all stay.
     """
-    copies = link_classes(docs, width, over, under).filter("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti")
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(kept.filter("doc_id is null"))
+    text = F.col("text").cast("string")
+    own = F.xxhash64("doc_id", text)
+    classes = link_classes(docs.select(own.alias("doc_id"), text.alias("text")), width, over, under)
+    classes = classes.filter("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id").distinct()
+    rows = classes.join(docs.select(own.alias("row"), F.col("doc_id").alias("id")).distinct(), "row")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row").alias("row"))
+    first = rows.groupBy("component_id").agg(F.min(order).alias("first")).select("first.row")
+    # Both anti-joins go by row, so a class of any size is spread over all tasks.
+    named = apart(docs)
+    copies = rows.join(first, "row", "left_anti").select(F.col("row").alias("copy"), F.col("id").alias("copy_id"))
+    same = (F.xxhash64("doc_id", text) == F.col("copy")) & F.col("doc_id").eqNullSafe(F.col("copy_id"))
+    kept = named.join(copies, same, "left_anti")
+    alone = F.col("doc_id").isNull() & ~F.coalesce(text.rlike(_WORD), F.lit(False))
+    once = kept.filter(~alone).dropDuplicates(["doc_id", "text"])
+    return once.union(kept.filter(alone)).toDF(*docs.columns)

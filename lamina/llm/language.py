@@ -195,7 +195,8 @@ def _draw() -> Column:
 
 
 def predict(docs: DataFrame, model: Centroids | None) -> DataFrame:
-    """``docs`` with lid_language, lid_score (cosine, 0 to 1) and lid_rejected."""
+    """``docs`` with lid_language, lid_score (cosine, 0 to 1) and lid_rejected, in place of columns of these names."""
+    docs = docs.drop("lid_language", "lid_score", "lid_rejected")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
         [

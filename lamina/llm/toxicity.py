@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.common import coded, slices, starts_of, sums, texts_of, words_of
+from lamina.llm.common import apart, coded, slices, starts_of, sums, texts_of, words_of
 from lamina.session import materialize
 
 #: Labelled rows that the model is fitted on; terms of the lexicon; words a pronoun reaches.
@@ -218,14 +218,16 @@ def _assembled(rows: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``tox_score`` from 0 to 1."""
+    """``docs`` with ``tox_score`` from 0 to 1, in place of a column of this name."""
+    docs = docs.drop("tox_score")
     if model.trees is None:
         return docs.withColumn("tox_score", F.lit(model.values[0]))
-    rows = _assembled(with_features(docs, model.lexicon))
+    named = apart(docs)
+    rows = _assembled(with_features(named, model.lexicon))
     rows = model.trees.transform(rows).withColumn("tox_raw", vector_to_array("tox_raw")[1])
     return rows.withColumn("tox_score", _calibrated(F.col("tox_raw"), model.bounds, model.values)).select(
-        *docs.columns, "tox_score"
-    )
+        *named.columns, "tox_score"
+    ).toDF(*docs.columns, "tox_score")
 
 
 def _calibrated(raw: Column, bounds: list[float], values: list[float]) -> Column:

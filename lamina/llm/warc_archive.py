@@ -135,22 +135,24 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every record.
+    """page_id, payload_bytes, payload_digest, record_type, refers_to and record_sha256 of every rebuilt record.
 
-    Length and digest are taken once from each stored payload and joined to its records;
-    a record whose header names another digest raises.
+    All of it is taken from the record that headers and payload give together; one whose header
+    names another digest than its payload's raises. No pages give no rows.
     """
-    measured = read_payloads(spark, path).select(
-        "sha256",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
-    )
-    joined = read_headers(spark, path).drop("warc", "http").join(measured, "sha256")
+    records = read_records(spark, path).withColumn("payload_digest", base32_sha1(F.col("payload")))
     wrong = F.raise_error(F.concat(F.lit("record names another digest than "), F.col("payload_digest")))
     digest = F.when(F.col("named_digest") == F.col("payload_digest"), F.col("payload_digest")).otherwise(
         wrong.cast("string")
     )
-    return joined.select("page_id", "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to")
+    return records.select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        digest.alias("payload_digest"),
+        "record_type",
+        "refers_to",
+        F.sha2("record", 256).alias("record_sha256"),
+    )
 
 
 def fresh_archive_path(spark: SparkSession) -> str:
