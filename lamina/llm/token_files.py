@@ -51,33 +51,43 @@ def unpack_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     return raw.view("<u4").ravel()
 
 
-_IDS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+_IDS = pa.schema(
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]
+)
 
 
 def document_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """doc_id, n_tokens and the ids (little-endian, 16 bits where the vocabulary fits) of each text and its end."""
+    """doc_id, n_tokens and the ids (little-endian, 16 bits where the vocabulary fits) of each text and its end.
+
+    One more row of each task has ``counts`` in place of ids: how often it met each id.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
-        kind = id_type(coder.tokenizer.get_vocab_size())
+        size = coder.tokenizer.get_vocab_size()
+        kind, total = id_type(size), np.zeros(size, np.int64)
         for part in slices(batches):
             flat, counts = coder.encode(part.column("text"))
             ends = starts_of(counts)
             flat = flat.astype(kind)
             end = np.array([end_id], kind).tobytes()
             ids = [flat[a:b].tobytes() + end for a, b in zip(ends, ends[1:])]
-            yield record({"doc_id": part.column("doc_id"), "n_tokens": counts + 1, "ids": ids}, _IDS)
+            total += np.bincount(flat, minlength=size)
+            total[end_id] += len(counts)
+            none = [None] * len(counts)
+            yield record({"doc_id": part.column("doc_id"), "n_tokens": counts + 1, "ids": ids, "counts": none}, _IDS)
+        yield record({"doc_id": [None], "n_tokens": [None], "ids": [None], "counts": [total.tobytes()]}, _IDS)
 
     columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return columns.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
+    return columns.mapInArrow(encode, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def id_type(vocabulary_size: int) -> str:
     return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
 
 
-def id_ranks(ids: DataFrame, size: int) -> np.ndarray:
-    """The rank of each id by falling count over all documents; ties go to the smaller id.
+def id_ranks(counts: DataFrame, size: int) -> np.ndarray:
+    """The rank of each id by falling sum of ``counts``, a row per task; ties go to the smaller id.
 
     The result has one entry per id of the vocabulary, so its size is fixed.
     """
@@ -85,12 +95,12 @@ def id_ranks(ids: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), id_type(size))
-            total += np.bincount(ids, minlength=size)
+            for own in batch.column("counts").to_pylist():
+                total += np.frombuffer(own, np.int64)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": seen, "n": total[seen]})
 
-    found = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    found = counts.select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     totals = np.zeros(size, np.int64)
     for row in found.collect():  # at most one row per id of the vocabulary
         totals[row.id] = row.n
@@ -103,8 +113,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     """Encode all documents and write them to ``path/blocks``, with the id of each rank in ``path/ranks``."""
     spark = docs.sparkSession
     size = encoder(vocabulary).tokenizer.get_vocab_size()
-    ids = materialize(document_ids(docs, vocabulary, end_id), "ids")
-    ranks = id_ranks(ids, size)
+    # The digest is stored, so neither the counts nor the bounds of the ranges read the ids again.
+    found = document_ids(docs, vocabulary, end_id).withColumn("digest", F.xxhash64("ids"))
+    found = materialize(found, "ids")
+    ids = found.filter("counts is null")
+    ranks = id_ranks(found.filter("counts is not null"), size).astype(np.uint32)
     ranked = spark.createDataFrame([(int(r), i) for i, r in enumerate(ranks)], "rank long, id long")
     ranked.coalesce(1).write.parquet(f"{path}/ranks")
     shared = spark.sparkContext.broadcast(ranks)
@@ -130,8 +143,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
             yield closed()
 
     # The digest spreads rows that share an id over several parts, still in one fixed order.
-    order = [F.col("doc_id"), F.xxhash64("ids")]
-    ordered = ids.repartitionByRange(*order).sortWithinPartitions(*order, "ids")
+    order = ["doc_id", "digest"]
+    ordered = ids.select(*order, "ids").repartitionByRange(*order).sortWithinPartitions(*order, "ids")
     written = ordered.select("doc_id", "ids").mapInArrow(
         blocks, "before long, doc_ids array<long>, counts array<long>, n_ids long, control binary, data binary"
     )
@@ -180,15 +193,15 @@ def _with_ids(doc_ids, starts, ids) -> pa.RecordBatch:
 
 
 def _with_digest(doc_ids, starts, ids) -> pa.RecordBatch:
-    raw, base = ids.astype("<u4"), starts[0]
-    crcs = [zlib.crc32(raw[a - base : b - base].tobytes()) for a, b in zip(starts, starts[1:])]
+    raw, base = ids.astype("<u4", copy=False), starts[0]
+    crcs = [zlib.crc32(raw[a - base : b - base]) for a, b in zip(starts, starts[1:])]
     found = {"doc_id": doc_ids, "start": starts[:-1], "n_tokens": np.diff(starts), "ids_crc32": crcs}
     return record(found, _DIGEST)
 
 
 def _documents(spark: SparkSession, path: str, schema: str, made) -> DataFrame:
     ranked = spark.read.parquet(f"{path}/ranks").collect()  # one row per id of the vocabulary
-    table = np.empty(len(ranked), np.int64)
+    table = np.empty(len(ranked), np.uint32)
     for row in ranked:
         table[row.rank] = row.id
     shared = spark.sparkContext.broadcast(table)
