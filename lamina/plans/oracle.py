@@ -251,6 +251,16 @@ def oracle_sql() -> dict[str, str]:
             union all
             select {_BRONZE}, null from dated where INVOICENO in (select INVOICENO from {stored_bronze})"""
         ),
+        **dict.fromkeys(
+            ("bronze_csv_headers", "stream_csv_headers"),
+            _after(
+                f"""select * exclude (THIRD) replace (case when THIRD = 2 then null else COUNTRY end as COUNTRY,
+                  case when THIRD = 1 then LINENUMBER end as LINENUMBER,
+                  case when THIRD = 2 then LINESTATUS end as LINESTATUS)
+                from (select {_BRONZE}, cast(LINENUMBER as varchar) as LINENUMBER, LINESTATUS,
+                  cast(replace(INVOICENO, 'C', '') as bigint) % 3 as THIRD from dated)"""
+            ),
+        ),
         "distinct_products": _after("select distinct STOCKCODE, COUNTRY from silver"),
         "emptiness_probe": _after(
             """select 'INVOICE' as table_name, not exists (select 1 from invoice) as is_empty

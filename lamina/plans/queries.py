@@ -47,12 +47,12 @@ from lamina.schemas import (
     INVOICE_SILVER,
 )
 from lamina.session import fresh_path, materialize
-from lamina.sources.csv_files import read_csv_folder, write_csv_folder
+from lamina.sources.csv_files import read_csv_by_header, read_csv_folder, write_csv_folder
 from lamina.sources.invoices import EXTRA_COLUMNS, invoice_lines
 from lamina.sources.ledger import KEY as LEDGER_KEY
 from lamina.sources.ledger import key_of
 from lamina.sources.tables import Warehouse, is_empty, with_keys
-from lamina.streaming.arrivals import arriving_lines, start_incremental_load
+from lamina.streaming.arrivals import arriving_lines, start_folder_load, start_incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -442,6 +442,34 @@ def stream_csv_by_name(spark: SparkSession, folder: str) -> DataFrame:
     return wh.scan(INVOICE)
 
 
+def _three_headers(spark: SparkSession, folder: str) -> str:
+    """One folder of CSV files with three headers: other orders, a column more, one less and another one more."""
+    path, lines = fresh_path(spark, "csv"), invoice_lines(spark, folder, ["LINENUMBER", "LINESTATUS"])
+    third = F.regexp_replace("INVOICENO", "C", "").cast("long") % 3
+    names = [c for c in lines.columns if c not in ("LINENUMBER", "LINESTATUS")]
+    headers = [names[::-1], ["LINENUMBER", *names], [*[c for c in names if c != "COUNTRY"], "LINESTATUS"]]
+    for number, header in enumerate(headers):
+        write_csv_folder(lines.filter(third == number).select(*header), path, "append")
+    return path
+
+
+@query
+def bronze_csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of three headers in one folder, each read by its own and united by name."""
+    wh = _warehouse(spark)
+    load_bronze(wh, read_csv_by_header(spark, _three_headers(spark, folder)))
+    return wh.scan(INVOICE)
+
+
+@query
+def stream_csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """The same folder through the streaming load."""
+    wh = _warehouse(spark)
+    path = _three_headers(spark, folder)
+    start_folder_load(wh, path, fresh_path(spark, "stream"), STAMP, once=True).awaitTermination()
+    return wh.scan(INVOICE)
+
+
 @query
 def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     wh = _warehouse(spark)

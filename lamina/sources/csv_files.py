@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.schemas import INVOICE
@@ -19,10 +24,47 @@ def header_schema(spark: SparkSession, folder: str, declared: T.StructType) -> T
         if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             raise
         return declared
+    return typed_names(names, declared)
+
+
+def typed_names(names: Sequence[str], declared: T.StructType) -> T.StructType:
     types = {f.name.upper(): f.dataType for f in declared}
     return T.StructType([T.StructField(n, types.get(n.upper(), T.StringType())) for n in names])
 
 
+def header_groups(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``paths`` by the names in their header; empty files are left out.
+
+    One pass of the tasks over the first split of each file; a task keeps one line a file. The
+    driver gets a row per file, as it does when Spark lists them.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    firsts = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in firsts.orderBy("file_path").collect():
+        names = tuple(next(csv.reader([row.header.removeprefix("\ufeff")]), ()))
+        groups.setdefault(names, []).append(row.file_path)
+    return groups
+
+
+def read_csv_by_header(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = INVOICE.schema
+) -> DataFrame:
+    """All CSV files below ``paths``, whose headers may differ: one typed read per header, united by name.
+
+    Declared columns come first and are there in any case; the others follow as text, in the order
+    of their names. A column that a file does not have is NULL in its lines. No file gives no lines.
+    """
+    found = {names: files for names, files in header_groups(spark, paths).items() if names}
+    reads = [
+        declared_names(with_header(spark.read, typed_names(names, schema)).csv(files), schema)
+        for names, files in found.items()
+    ]
+    declared = spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reads, declared)
+    return united.select(*schema.names, *sorted(c for c in united.columns if c not in schema.names))
+
+
 def declared_names(df: DataFrame, declared: T.StructType) -> DataFrame:
     """``df`` with known columns spelled as declared."""
     spelled = {name.upper(): name for name in declared.names}

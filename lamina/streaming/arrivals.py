@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lamina.operators.star import KEY
 from lamina.plans.layers import run_increment
 from lamina.schemas import INVOICE
-from lamina.sources.csv_files import declared_names, header_schema, with_header
-from lamina.sources.tables import Warehouse
+from lamina.sources.csv_files import declared_names, header_schema, read_csv_by_header, with_header
+from lamina.sources.tables import Warehouse, no_rows
 
 INTERVAL = "60 seconds"
 
@@ -44,17 +45,52 @@ def start_incremental_load(
     batch that is repeated after a failure is taken by every table once, and gets the same
     ids. ``checkpoint`` is a folder all executors share. ``once`` takes what is there and stops.
     """
+    return _started(wh, lines, lambda batch: batch, checkpoint, load_ts, grain, once)
+
+
+def start_folder_load(
+    wh: Warehouse,
+    folder: str,
+    checkpoint: str,
+    load_ts: datetime | None = None,
+    grain: str = KEY,
+    once: bool = False,
+    schema: T.StructType = INVOICE.schema,
+) -> StreamingQuery:
+    """``start_incremental_load`` for a folder whose files may have any header.
+
+    The stream says which files have arrived; each trigger reads them by their own headers, so a
+    delivery with new columns neither fails the query nor needs a restart.
+    """
+    arrived = wh.spark.readStream.text(folder).select("_metadata.file_path")
+
+    def lines(batch: DataFrame) -> DataFrame:
+        files = [row.file_path for row in batch.distinct().collect()]  # one row per arrived file
+        return read_csv_by_header(wh.spark, files, schema) if files else no_rows(wh.spark, schema)
+
+    return _started(wh, arrived, lines, checkpoint, load_ts, grain, once)
+
+
+def _started(
+    wh: Warehouse,
+    arriving: DataFrame,
+    lines: Callable[[DataFrame], DataFrame],
+    checkpoint: str,
+    load_ts: datetime | None,
+    grain: str,
+    once: bool,
+) -> StreamingQuery:
     stream = zlib.crc32(checkpoint.encode())
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        staged = f"{checkpoint}/staged"
-        batch.write.mode("overwrite").parquet(staged)
-        bronze = wh.spark.read.schema(batch.schema).parquet(staged)
+        staged, found = f"{checkpoint}/staged", lines(batch)
+        found.write.mode("overwrite").parquet(staged)
+        bronze = wh.spark.read.schema(found.schema).parquet(staged)
         run_increment(wh, bronze, load_ts, grain, f"stream-{stream:08x}-{batch_id}")
 
     trigger = {"availableNow": True} if once else {"processingTime": INTERVAL}
     return (
-        lines.writeStream.foreachBatch(process)
+        arriving.writeStream.foreachBatch(process)
         .option("checkpointLocation", f"{checkpoint}/offsets")
         .trigger(**trigger)
         .start()
