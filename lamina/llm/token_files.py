@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.byte_ids import encoder
 from lamina.llm.common import record, slices, starts_of
-from lamina.session import fresh_path, materialize
+from lamina.session import discard, fresh_path
 
 #: A block closes once it has this many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
@@ -115,7 +115,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     size = encoder(vocabulary).tokenizer.get_vocab_size()
     # The digest is stored, so neither the counts nor the bounds of the ranges read the ids again.
     found = document_ids(docs, vocabulary, end_id).withColumn("digest", F.xxhash64("ids"))
-    found = materialize(found, "ids")
+    path_of_ids = fresh_path(spark, "ids")
+    found.drop("n_tokens").write.option("compression", "zstd").parquet(path_of_ids)
+    found = spark.read.schema(found.drop("n_tokens").schema).parquet(path_of_ids)
     ids = found.filter("counts is null")
     ranks = id_ranks(found.filter("counts is not null"), size).astype(np.uint32)
     ranked = spark.createDataFrame([(int(r), i) for i, r in enumerate(ranks)], "rank long, id long")
@@ -151,6 +153,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     # A range partition is one task; its number is its place in the order.
     numbered = written.withColumn("part", F.spark_partition_id())
     numbered.write.option("compression", "none").parquet(f"{path}/blocks")
+    discard(spark, path_of_ids)
 
 
 _BLOCK = pa.schema(
