@@ -34,3 +34,9 @@ def repeated_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose foreign key has no parent; a NULL foreign key refers to nothing."""
     return without_match(child.filter(F.col(foreign_key).isNotNull()), [foreign_key], parent, [key])
+
+
+def not_leased(df: DataFrame, id_col: str, first: int, after: int) -> DataFrame:
+    """Rows whose id is NULL or not one of ``first`` to ``after`` - 1."""
+    own = (F.col(id_col) >= F.lit(first)) & (F.col(id_col) < F.lit(after))
+    return df.filter(~F.coalesce(own, F.lit(False)))

@@ -311,5 +311,37 @@ def oracle_sql() -> dict[str, str]:
                 )
             )
         ),
+        "check_declared": _after(
+            """, late as (select * from line where FECHA_INVOICE is not null and K not in (select K from stored_line))
+            select 'INVOICE_FACT_TABLE' as TABLE_NAME, 'late' as LOAD, 'PRIMARY KEY' as CONSTRAINT_TYPE,
+              'INVOICE_FACT_ID' as COLUMN_NAME, '-7' as KEY_VALUE, REASON, count(*) as ROW_COUNT
+            from late, (values ('REPEATED', 2), ('NOT LEASED', 1)) as r(REASON, least_rows)
+            where QUANTITY = 7 group by REASON, least_rows having count(*) >= least_rows
+            union all
+            select 'INVOICE_FACT_TABLE', 'late', 'FOREIGN KEY', 'PRODUCT_ID', cast(-cast(QUANTITY as bigint) as varchar),
+              'NO PARENT', count(*) from late where QUANTITY between 10 and 12 group by QUANTITY
+            union all
+            select 'COUNTRY_DIM', 'late', 'PRIMARY KEY', 'COUNTRY_ID', null, 'NOT LEASED', count(*)
+            from (select distinct K, COUNTRY from line where COUNTRY = 'FRANCE' and K not in (select K from stored_line))
+            having count(*) > 0"""
+        ),
+        "stream_resumed": _after(
+            " union all ".join(
+                f"select '{table}' as TABLE_NAME, count(*) as ROW_COUNT, count(distinct {key}) as KEY_COUNT from ({rows})"
+                for table, key, rows in (
+                    ("INVOICE", "INVOICENO", "from invoice"),
+                    ("INVOICE_SILVER", "INVOICENO", "from silver"),
+                    ("INVOICE_CANCELLED_SILVER", "INVOICENO", "from cancelled"),
+                    ("INVOICE_GOLD", "INVOICENO", "from silver"),
+                    ("INVOICE_CANCELLED_GOLD", "INVOICENO", "from cancelled"),
+                    ("INVOICE_DATE_DIM", "K", "select distinct K, FECHA_INVOICE, HORA_MINUTO_VARCHAR from line where FECHA_INVOICE is not null"),
+                    ("COUNTRY_DIM", "K", "select distinct K, COUNTRY from line"),
+                    ("PRODUCT_DIM", "K", "select distinct K, STOCKCODE from line"),
+                    ("DIMENSION_MAP", "K", "select distinct K, FECHA_INVOICE, HORA_MINUTO_VARCHAR, COUNTRY, STOCKCODE from line"),
+                    ("INVOICE_FACT_TABLE", "K", "from line where FECHA_INVOICE is not null"),
+                    ("RESOLVED", "K", "from line where FECHA_INVOICE is not null"),
+                )
+            )
+        ),
         "stream_incremental": _after(f"select {stored_columns} from silver"),
     }

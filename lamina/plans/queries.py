@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from lamina.operators.star import (
     star,
 )
 from lamina.operators.surrogate import dense_ids, next_id
+from lamina.plans.checks import check_run
 from lamina.plans.layers import (
     load_bronze,
     load_dimension_map,
@@ -45,6 +47,7 @@ from lamina.schemas import (
     INVOICE_FACT_TABLE,
     INVOICE_GOLD,
     INVOICE_SILVER,
+    TABLES,
 )
 from lamina.session import fresh_path, materialize
 from lamina.sources.csv_files import read_csv_by_header, read_csv_folder, write_csv_folder
@@ -396,6 +399,36 @@ def check_fk(spark: SparkSession, folder: str) -> DataFrame:
     return quality.orphans(facts, FACT_KEY, dates, DIMENSION_KEY)
 
 
+@query
+def check_declared(spark: SparkSession, folder: str) -> DataFrame:
+    """Declared keys of two loads; the later one brings violations.
+
+    On purpose facts of one quantity share an id, facts of some others refer to products that are
+    not there, and one country's dimension rows come once more without an id. The earlier load
+    has no violation.
+    """
+    wh, lines = _warehouse(spark), materialize(_silver(spark, folder), "silver")
+    quantity = F.col("QUANTITY")
+
+    class Spoilt(Warehouse):
+        def append(self, table, df, *more, **named):
+            if table.name == INVOICE_FACT_TABLE.name:
+                wrong = F.when(quantity == 7, F.lit(-7)).otherwise(F.col("INVOICE_FACT_ID"))
+                gone = F.when(quantity.between(10, 12), -quantity.cast("long")).otherwise(F.col("PRODUCT_ID"))
+                df = df.withColumns({"INVOICE_FACT_ID": wrong, "PRODUCT_ID": gone})
+            if table.name == COUNTRY_DIM.name:
+                df = df.union(df.filter("COUNTRY = 'FRANCE'").withColumn("COUNTRY_ID", F.lit(None).cast("long")))
+            return super().append(table, df, *more, **named)
+
+    spoilt = Spoilt(spark, wh.root, wh.prefix)
+    for load, part, target in (("early", _stored(lines), wh), ("late", lines, spoilt)):
+        load_dimension_map(target, part, load)
+        for dim in DIMENSIONS:
+            load_mapped_dimension(target, dim, STAMP)
+        load_fact(target, part, STAMP, load=load)
+    return reduce(DataFrame.unionByName, [check_run(wh, load, STAMP) for load in ("early", "late")])
+
+
 @query
 def load_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Counts taken by the write itself."""
@@ -545,6 +578,47 @@ def layered_run(spark: SparkSession, folder: str) -> DataFrame:
     return resolved_facts(wh)
 
 
+@query
+def stream_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries; the later one is cut short once in every layer and taken up by a new query each time.
+
+    Rows and keys of every table, and of the facts whose ids lead to their dimensions.
+    """
+    wh, lines = _warehouse(spark), invoice_lines(spark, folder)
+    arrivals, checkpoint = fresh_path(spark, "arrivals"), fresh_path(spark, "stream")
+    early, lost = _stored_bronze(lines), set()
+
+    class CutShort(Warehouse):
+        def append(self, table, *given, **named):
+            done = super().append(table, *given, **named)
+            if table.name in (INVOICE_SILVER.name, DIMENSION_MAP.name, INVOICE_FACT_TABLE.name) and table.name not in lost:
+                lost.add(table.name)
+                raise InterruptedError(f"lost after the rows of {table.name}")
+            return done
+
+    def take(target: Warehouse) -> None:
+        stream = arriving_lines(spark, f"{arrivals}/*")
+        start_incremental_load(target, stream, checkpoint, STAMP, once=True).awaitTermination()
+
+    write_csv_folder(early, f"{arrivals}/delivery-0")
+    take(wh)
+    write_csv_folder(new_rows(lines, early, INVOICE.load_key), f"{arrivals}/delivery-1")
+    for cut in range(3):
+        try:
+            take(CutShort(spark, wh.root, wh.prefix))
+        except StreamingQueryException:
+            continue
+        raise RuntimeError(f"the load should have been cut short, {cut} times until now")
+    take(wh)
+    counts = []
+    for name, rows in [(t.name, wh.scan(t)) for t in TABLES.values()] + [("RESOLVED", resolved_facts(wh))]:
+        key = TABLES[name].load_key if name in TABLES else FACT_KEY
+        counts.append(rows.agg(
+            F.lit(name).alias("TABLE_NAME"), F.count("*").alias("ROW_COUNT"), F.countDistinct(key).alias("KEY_COUNT")
+        ))
+    return reduce(DataFrame.union, counts)
+
+
 @query
 def stream_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Two deliveries of CSV files through the streaming load; the stored silver invoices."""

@@ -168,6 +168,23 @@ DIMENSION_MAP = Table(
     partition_by=(MAP_LOAD,),
 )
 
+#: What checks of declared keys found: a partition per checked table and load.
+VIOLATIONS = Table(
+    "CONSTRAINT_VIOLATIONS",
+    "gold",
+    _columns(
+        ("CONSTRAINT_TYPE", STRING),
+        ("COLUMN_NAME", STRING),
+        ("KEY_VALUE", STRING),
+        ("REASON", STRING),
+        ("ROW_COUNT", LONG),
+        ("TABLE_NAME", STRING),
+        ("LOAD", STRING),
+    ),
+    "LOAD",
+    partition_by=("TABLE_NAME", "LOAD"),
+)
+
 TABLES = {
     t.name: t
     for t in (

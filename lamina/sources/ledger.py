@@ -143,8 +143,9 @@ class KeyLedger:
     def _forget(self, load: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.keys_table} DROP IF EXISTS PARTITION ({LOAD} = '{load}')")
 
-    def opened(self, load: str) -> DataFrame:
-        return self._keys([load])
+    def opened(self, *loads: str) -> DataFrame:
+        """The keys of ``loads``, finished or not."""
+        return self._keys(loads)
 
     def finish(
         self, load: str, first_id: int | None = None, next_id: int | None = None, replaces: Sequence[str] = ()
