@@ -44,6 +44,7 @@ from lamina.schemas import (
     TABLES,
     Table,
 )
+from lamina.session import make_active
 from lamina.sources.tables import Load, Warehouse
 
 
@@ -261,7 +262,7 @@ def _gold_invoice_loads(
 
 def _side_by_side(wh: Warehouse, loads: list[Callable[[], Load]]) -> list[Load]:
     """Loads of different tables at the same time: one's last tasks and commit leave room for another."""
-    with ThreadPoolExecutor(len(loads)) as pool:
+    with ThreadPoolExecutor(len(loads), initializer=make_active, initargs=(wh.spark,)) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(wh.spark)(load)) for load in loads]]
 
 

@@ -230,6 +230,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bronze_csv_roundtrip": _after(f"select {_BRONZE} from invoice"),
         "table_scan": _after(f"select {stored_columns} from silver"),
+        "connector_load": _after(f"select {stored_columns} from silver"),
         "append_idempotent": _after(f"select {_BRONZE} from invoice"),
         "bronze_first_load": _after(f"select {_BRONZE}, LINENUMBER from invoice"),
         "schema_evolve_append": _after(

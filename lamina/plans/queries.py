@@ -35,6 +35,7 @@ from lamina.plans.layers import (
     load_dimension_map,
     load_fact,
     load_mapped_dimension,
+    load_silver,
     resolved_facts,
     run_layers,
 )
@@ -50,11 +51,12 @@ from lamina.schemas import (
     TABLES,
 )
 from lamina.session import fresh_path, materialize
+from lamina.sources.committed import FORMAT, CommittedTables
 from lamina.sources.csv_files import read_csv_by_header, read_csv_folder, write_csv_folder
 from lamina.sources.invoices import EXTRA_COLUMNS, invoice_lines
 from lamina.sources.ledger import KEY as LEDGER_KEY
 from lamina.sources.ledger import key_of
-from lamina.sources.tables import Warehouse, is_empty, with_keys
+from lamina.sources.tables import ConnectorWarehouse, Warehouse, is_empty, with_keys
 from lamina.streaming.arrivals import arriving_lines, start_folder_load, start_incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -520,6 +522,19 @@ def append_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     return wh.scan(INVOICE)
 
 
+@query
+def connector_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze and silver loaded twice into a connector, with a column more the second time; the silver lines there."""
+    spark.dataSource.register(CommittedTables)
+    name = f"retail_{uuid.uuid4().hex[:12]}"
+    root = fresh_path(spark, name)
+    wh = ConnectorWarehouse(spark, root, FORMAT, {"folder": f"{root}/connector"}, prefix=name)
+    for delivery in (_stored_bronze(invoice_lines(spark, folder)), invoice_lines(spark, folder, ["LINENUMBER"])):
+        load_bronze(wh, delivery)
+        load_silver(wh, STAMP)
+    return wh.scan(INVOICE_SILVER)
+
+
 @query
 def bronze_first_load(spark: SparkSession, folder: str) -> DataFrame:
     """The first load creates the table from the columns that arrive."""

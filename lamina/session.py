@@ -26,6 +26,11 @@ def local_session(app: str = "lamina", cores: str = "8", shuffle_partitions: str
     )
 
 
+def make_active(spark: SparkSession) -> None:
+    """Let Spark know the session of a new thread, where it looks up data sources registered in Python."""
+    SparkSession._get_j_spark_session_class(spark._jvm).setActiveSession(spark._jsparkSession)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, as named by ``spark.checkpoint.dir``.
 

@@ -143,17 +143,14 @@ class Warehouse:
             self.create(table, T.StructType([*table.schema, *fresh]))
         else:
             self.add_columns(table, fresh)
-        rows = conform(df, self.schema(table))
+        known = self.schema(table)
+        rows = conform(df, T.StructType([*known, *new_columns(T.StructType(fresh), known)]))
         rescued = F.col(RESCUED).isNotNull() if RESCUED in rows.columns else F.lit(False)
         rejected = reject_reason(table.required).isNotNull()
         counted, observation = observed(
             rows, f"load {table.name}", F.count_if(rejected).alias("rejected"), last_id(table.primary_key).alias("last_id"), F.count_if(rescued).alias("rescued"),
         )
-        accepted, partition = counted.filter(~rejected), ""
-        if table.partition_by and load_ts is not None:
-            accepted = accepted.drop(LOAD_DATE)
-            partition = f"PARTITION ({LOAD_DATE} = DATE'{load_ts.date()}')"
-        self.spark.sql(f"INSERT INTO {self.name(table)} {partition} BY NAME SELECT * FROM {{rows}}", rows=accepted)
+        self._insert(table, counted.filter(~rejected), load_ts)
         metrics = observation.get
         return Load(
             table=table.name,
@@ -164,6 +161,13 @@ class Warehouse:
             rescued=metrics["rescued"],
         )
 
+    def _insert(self, table: Table, rows: DataFrame, load_ts: datetime | None) -> None:
+        partition = ""
+        if table.partition_by and load_ts is not None:
+            rows = rows.drop(LOAD_DATE)
+            partition = f"PARTITION ({LOAD_DATE} = DATE'{load_ts.date()}')"
+        self.spark.sql(f"INSERT INTO {self.name(table)} {partition} BY NAME SELECT * FROM {{rows}}", rows=rows)
+
     def append_unseen(
         self,
         table: Table,
@@ -210,6 +214,45 @@ class Warehouse:
         return done
 
 
+class ConnectorWarehouse(Warehouse):
+    """The same layers with all rows behind a connector; the key ledgers stay in the catalog, under ``root``.
+
+    ``connector`` is a Spark data source that takes the table's name as ``dbtable``. A table exists
+    there when it has columns; a connector that raises for a missing table has to be given its
+    tables first. The connector makes a table, and adds columns, as rows with them are appended.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, connector: str, options: Mapping[str, str], **more):
+        super().__init__(spark, root, **more)
+        self.connector, self.options = connector, dict(options)
+
+    def _stored(self, table: Table) -> DataFrame:
+        return scan_connector(self.spark, self.connector, self.options, self.name(table))
+
+    def exists(self, table: Table) -> bool:
+        return bool(self._stored(table).columns)
+
+    def create(self, table: Table, schema: T.StructType | None = None) -> None:
+        """An append without rows leaves the columns."""
+        if not self.exists(table):
+            columns = [T.StructField(f.name, f.dataType) for f in (schema or table.schema)]
+            empty = no_rows(self.spark, T.StructType(columns))
+            append_connector(empty, self.connector, self.options, self.name(table))
+
+    def scan(self, table: Table) -> DataFrame:
+        stored = self._stored(table)
+        if not stored.columns:
+            return no_rows(self.spark, table.schema)
+        declared = [c for c in table.schema.names if c in stored.columns]
+        return stored.select(*declared, *[c for c in stored.columns if c not in declared])
+
+    def add_columns(self, table: Table, fields: list[T.StructField]) -> None:
+        """They come with the rows that have them."""
+
+    def _insert(self, table: Table, rows: DataFrame, load_ts: datetime | None) -> None:
+        append_connector(rows, self.connector, self.options, self.name(table))
+
+
 def with_keys(incoming: DataFrame, key: Column, keys: DataFrame, also: Column) -> DataFrame:
     """Rows of ``incoming`` whose key is one of the distinct ``keys``, is NULL, or for which ``also`` holds.
 
