@@ -8,13 +8,13 @@ the states have a fixed size; the word counts stay distributed and are joined.
 
 Training is Baum-Welch. Every task runs the scaled forward and backward recursions over
 its documents and gives expected counts by class; Spark adds them up over all tasks.
-The first rounds run over a fixed share of the training documents (they only choose the
-starting point), the last rounds over all. Texts are cut into windows for training only;
+Every round runs over all training documents. Texts are cut into windows for training only
+(a window that begins within a text is no start, and the move into it is not counted);
 the score is the forward recursion over the whole text, in double precision.
 
 Null texts are empty: one token, the end. Rows with a null doc_id train or not by the
 empty id; repeated rows count once each. Without any training document all counts are 0
-and all states alike. The input needs doc_id and text; other columns are not looked at.
+and the states stay as they were at first. The input needs doc_id and text; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ STATES = 8
 #: Classes of words; class 0 holds the end of a text alone.
 CLASSES = 4096
 ALPHA = 0.1
-#: Rounds over the share of the training documents, and over all of them.
-FIRST_ROUNDS, FULL_ROUNDS, SHARE = 8, 2, 16
+#: Rounds over all training documents. In a trial the fifth one changed the fourth digit of the likelihood.
+ROUNDS = 5
 #: Words of a training window.
 WINDOW = 1024
 
@@ -100,9 +100,12 @@ def log_likelihood(model: States, classes: np.ndarray, counts: np.ndarray) -> np
 
 
 def expected_counts(
-    model: States, classes: np.ndarray, counts: np.ndarray
+    model: States, classes: np.ndarray, counts: np.ndarray, begins_text: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, moves and emissions (class, state) of the sequences, and their log likelihood."""
+    """Expected starts, moves and emissions (class, state) of the sequences, and their log likelihood.
+
+    Only sequences that begin a text (default: all) count as starts.
+    """
     k = len(model.start)
     order, begins, place = _lockstep(classes, counts)
     symbols = np.empty(len(classes), np.int64)
@@ -132,7 +135,10 @@ def expected_counts(
         beta = here
     _set_gamma(alpha, 0, beta)
     emitted = np.stack([np.bincount(symbols, alpha[:, s], CLASSES) for s in range(k)], axis=1)
-    starts = alpha[: len(counts)].sum(axis=0, dtype=np.float64)
+    firsts = alpha[: len(counts)]
+    if begins_text is not None:
+        firsts = firsts[begins_text[order]]
+    starts = firsts.sum(axis=0, dtype=np.float64)
     return starts, moved * model.move, emitted, float(np.log10(scale, dtype=np.float64).sum())
 
 
@@ -161,8 +167,8 @@ _CHUNK_SCHEMA = pa.schema(
     + [(name, pa.binary()) for name in ("kinds", "counts", "codes", "classes")]
     + [("vocabulary", pa.list_(pa.binary())), ("seen", pa.list_(pa.int64())), ("n_training", pa.int64())]
 )
-#: Kinds of documents: 0 held out, 1 for training, 2 for training and in the share of the first rounds.
-_TRAINING, _IN_SHARE = 1, 2
+#: Kinds of documents.
+_HELD_OUT, _TRAINING = 0, 1
 
 
 def chunks(docs: DataFrame, training: Column) -> DataFrame:
@@ -190,8 +196,7 @@ def chunks(docs: DataFrame, training: Column) -> DataFrame:
             yield record(row, _CHUNK_SCHEMA)
             chunk += 1
 
-    share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(SHARE)) == 0
-    kind = F.when(~F.coalesce(training, F.lit(False)), 0).when(share, _IN_SHARE).otherwise(_TRAINING)
+    kind = F.when(F.coalesce(training, F.lit(False)), _TRAINING).otherwise(_HELD_OUT)
     columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), kind.alias("kind"))
     return columns.mapInArrow(cut, _CHUNKS)
 
@@ -214,8 +219,8 @@ def _sequences(batch: pa.RecordBatch, row: int, least_kind: int) -> tuple[np.nda
     return np.insert(classes, np.cumsum(counts), 0).astype(np.int32), counts + 1
 
 
-def baum_welch(corpus: DataFrame, model: States, least_kind: int = _TRAINING, window: int = WINDOW) -> States:
-    """One round over the documents of this kind or above."""
+def baum_welch(corpus: DataFrame, model: States, window: int = WINDOW) -> States:
+    """One round over the training documents; without any the model stays as it is."""
     spark = corpus.sparkSession
     k = len(model.start)
     shared = spark.sparkContext.broadcast(model)
@@ -225,13 +230,15 @@ def baum_welch(corpus: DataFrame, model: States, least_kind: int = _TRAINING, wi
         starts, moved, emitted = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
         for batch in batches:
             for row in range(batch.num_rows):
-                classes, counts = _sequences(batch, row, least_kind)
+                classes, counts = _sequences(batch, row, _TRAINING)
                 if not len(counts):
                     continue
                 pieces = -(-counts // window)
                 lengths = np.full(int(pieces.sum()), window)
                 lengths[np.cumsum(pieces) - 1] = counts - (pieces - 1) * window
-                found = expected_counts(model, classes, lengths)
+                begins_text = np.zeros(len(lengths), bool)
+                begins_text[starts_of(pieces)[:-1]] = True
+                found = expected_counts(model, classes, lengths, begins_text)
                 starts, moved, emitted = starts + found[0], moved + found[1], emitted + found[2]
         # Key -1 holds the starts, -2 and below the moves from each state.
         keys = [-1, *range(-2, -2 - k, -1), *range(CLASSES)]
@@ -251,29 +258,11 @@ def baum_welch(corpus: DataFrame, model: States, least_kind: int = _TRAINING, wi
             starts[:] = row[1:]
         else:
             moved[-2 - row[0]] = row[1:]
+    if not emitted.any():
+        return model
     return next_states(starts, moved, emitted)
 
 
-def share_of(corpus: DataFrame) -> DataFrame:
-    """The documents in the share of the first rounds alone, stored as chunks without vocabulary."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                classes, counts = _sequences(batch, row, _IN_SHARE)
-                # A class stands for itself here, so codes are classes and the ends are taken off again.
-                found = {
-                    "kinds": [np.full(len(counts), _IN_SHARE, np.uint8).tobytes()],
-                    "counts": [(counts - 1).astype("<u4").tobytes()],
-                    "codes": [np.delete(classes, np.cumsum(counts) - 1).astype("<u2").tobytes()],
-                    "classes": [np.arange(CLASSES, dtype="<u2").tobytes()],
-                }
-                yield pa.RecordBatch.from_pydict(found)
-
-    columns = corpus.select("kinds", "counts", "codes", "classes")
-    return materialize(columns.mapInArrow(pick, "kinds binary, counts binary, codes binary, classes binary"), "share")
-
-
 @dataclass
 class Totals:
     """Training tokens and distinct ones, over all and by class."""
@@ -313,10 +302,7 @@ def train(corpus: DataFrame, states: int = STATES) -> LanguageModel:
     ends = corpus.agg(F.sum("n_training")).first()[0] or 0
     class_tokens[0], class_distinct[0] = ends, min(1, ends)
     model = first_states(states)
-    share = share_of(corpus)
-    for _ in range(FIRST_ROUNDS):
-        model = baum_welch(share, model, _IN_SHARE)
-    for _ in range(FULL_ROUNDS):
+    for _ in range(ROUNDS):
         model = baum_welch(corpus, model)
     totals = Totals(int(class_tokens.sum()), int(class_distinct.sum()), class_tokens, class_distinct)
     return LanguageModel(model, totals, words)
@@ -361,10 +347,10 @@ def score(corpus: DataFrame, model: LanguageModel, alpha: float = ALPHA) -> Data
                 end = math.log10(totals.class_tokens[0] + alpha)
                 base = sums(logs[codes], counts) + end - (counts + 1) * unit
                 within = sums((logs - class_unit[classes])[codes], counts) + end - class_unit[0]
-                hidden = log_likelihood(states, *_sequences(batch, row, 0))
+                hidden = log_likelihood(states, *_sequences(batch, row, _HELD_OUT))
                 found = {
                     "doc_id": batch.column("doc_ids")[row].values,
-                    "held_out": _numbers(batch, "kinds", row, "u1") == 0,
+                    "held_out": _numbers(batch, "kinds", row, "u1") == _HELD_OUT,
                     "n_tokens": counts + 1,
                     "n_known": sums((n > 0).astype(np.int64)[codes], counts) + int(totals.class_tokens[0] > 0),
                     "train_tokens": np.full(len(counts), totals.tokens),
