@@ -84,7 +84,7 @@ def _started(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         staged, found = f"{checkpoint}/staged", lines(batch)
-        found.write.mode("overwrite").parquet(staged)
+        found.write.mode("overwrite").parquet(staged, compression="zstd")
         bronze = wh.spark.read.schema(found.schema).parquet(staged)
         run_increment(wh, bronze, load_ts, grain, f"stream-{stream:08x}-{batch_id}")
 
