@@ -93,6 +93,17 @@ def with_dimension_ids(rows: DataFrame, first: int, parts: int) -> DataFrame:
     return numbered.withColumns(ids)
 
 
+def dimension_of_map(map_loads: DataFrame, dim: Dimension) -> DataFrame:
+    """The distinct rows of ``dim`` in whole loads of the map.
+
+    The map row whose id a dimension row took stands for it, so these are found without a
+    shuffle; only rows that lack an attribute, and so have no id, have to be compared.
+    """
+    rows = [dim.id_col, DIMENSION_KEY, *dim.attributes]
+    own = map_loads.filter(F.col(dim.id_col) == F.col(DIMENSION_MAP.primary_key)).select(*rows)
+    return own.union(map_loads.filter(F.col(dim.id_col).isNull()).select(*rows).distinct())
+
+
 def mapped(facts: DataFrame, dimension_map: DataFrame) -> DataFrame:
     """Fact rows with the three dimension ids, by one join on key and attribute values.
 

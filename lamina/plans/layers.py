@@ -20,6 +20,7 @@ from lamina.operators.star import (
     LINE,
     Dimension,
     checked_grain,
+    dimension_of_map,
     dimension_rows,
     fact_rows,
     map_rows,
@@ -132,7 +133,7 @@ def load_mapped_dimension(wh: Warehouse, dim: Dimension, load_ts: datetime | Non
     first, after = pending[0].FIRST_ID, pending[-1].NEXT_ID
     if not wh.exists(dim.table) or wh.scan(dim.table).filter(F.col(dim.id_col).between(first, after - 1)).isEmpty():
         found = wh.scan(DIMENSION_MAP).filter(F.col(MAP_LOAD).isin([r.LOAD for r in pending]))
-        rows = found.select(dim.id_col, DIMENSION_KEY, *dim.attributes).distinct()
+        rows = dimension_of_map(found, dim)
         done = wh.append(dim.table, rows.withColumns(load_stamp(load_ts)), load_ts)
     ledger.finish(pending[-1].LOAD, first, after)
     return done

@@ -1,16 +1,21 @@
 """What the loads need not shuffle."""
 
 import re
+from datetime import datetime
+
+from pyspark.sql import functions as F
 
 from conftest import rows
+from lamina.operators.star import DIMENSIONS, dimension_of_map, map_rows, with_dimension_ids
 from lamina.plans import queries as plans
 from lamina.plans.layers import load_bronze
-from lamina.schemas import INVOICE
+from lamina.schemas import DIMENSION_KEY, INVOICE
 from lamina.session import materialize
 from lamina.sources import tables
 from lamina.sources.invoices import invoice_lines
 from lamina.sources.ledger import KEY, KeyLedger, key_of
 
+STAMP = datetime(2024, 1, 31)
 
 
 def exchanges_above(plan, scan):
@@ -81,3 +86,15 @@ def test_ledger_counts_arrived_and_unseen_keys(spark, warehouse):
     ledger.open("b", lines(spark, "2", "3", "3", "4").select(key))
     assert ledger.share("b") == (3, 2)
     assert rows(ledger.opened("b")) == [("3",), ("4",)]
+
+
+def test_dimension_rows_of_the_map_are_found_without_comparing_them(spark):
+    silver = spark.createDataFrame(
+        [("1", "p", "X", "8:00"), ("1", "p", "Y", "8:00"), ("1", "p", None, "8:00"), ("1", "p", "X", None), ("2", "p", "X", "8:00"), ("2", "p", "X", "8:00")],
+        "INVOICENO string, STOCKCODE string, COUNTRY string, HORA_MINUTO_VARCHAR string",
+    ).withColumn("FECHA_INVOICE", F.lit(STAMP.date()))
+    found = with_dimension_ids(map_rows(silver), 100, 4).localCheckpoint()
+    for dim in DIMENSIONS:
+        got = dimension_of_map(found, dim)
+        want = found.select(dim.id_col, DIMENSION_KEY, *dim.attributes).distinct()
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
