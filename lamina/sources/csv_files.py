@@ -93,4 +93,5 @@ def with_header(reader, schema: T.StructType | None):
 
 
 def write_csv_folder(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    df.write.option("header", True).mode(mode).csv(folder)
+    """A gzip file per task, which readers tell by its name."""
+    df.write.option("header", True).mode(mode).csv(folder, compression="gzip")
