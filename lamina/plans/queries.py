@@ -8,7 +8,7 @@ from datetime import date, datetime
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import load_stamp, natural_key
@@ -343,6 +343,18 @@ def fact_by_map(spark: SparkSession, folder: str) -> DataFrame:
     return resolved_facts(_loaded_facts(spark, folder)[0])
 
 
+def _shared_ids(found: DataFrame, dim: Dimension) -> DataFrame:
+    """The ids of ``dim`` that several rows of the map have, and whether all rows of an id are alike (FITS).
+
+    Ids are shuffled alone. Those that repeat are stored, so the planner knows that they are few
+    when the rows that have them are looked up.
+    """
+    counted = found.groupBy(dim.id_col).agg(F.count("*").alias("n")).filter(F.col(dim.id_col).isNotNull() & (F.col("n") > 1))
+    rows = found.join(materialize(counted.select(dim.id_col), "repeated-ids"), dim.id_col)
+    values = F.struct(DIMENSION_KEY, *dim.attributes)
+    return rows.groupBy(dim.id_col).agg((F.min(values) == F.max(values)).alias("FITS"))
+
+
 @query
 def dimension_map(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads of the map: its rows, and whether each id stands for one row of its dimension."""
@@ -350,11 +362,12 @@ def dimension_map(spark: SparkSession, folder: str) -> DataFrame:
     load_dimension_map(wh, _stored(lines))
     load_dimension_map(wh, lines)
     found = wh.scan(DIMENSION_MAP)
+    stored = found
     for dim in DIMENSIONS:
-        same = Window.partitionBy(dim.id_col)
-        values = F.struct(DIMENSION_KEY, *dim.attributes)
-        one = F.when(F.col(dim.id_col).isNull(), None).otherwise(F.min(values).over(same) == F.max(values).over(same))
-        found = found.withColumn(f"{dim.id_col}_FITS", one)
+        fits = f"{dim.id_col}_FITS"
+        shared = materialize(_shared_ids(stored, dim), "shared-ids")
+        found = found.join(shared.withColumnRenamed("FITS", fits), dim.id_col, "left")
+        found = found.withColumn(fits, F.when(F.col(dim.id_col).isNotNull(), F.coalesce(fits, F.lit(True))))
     attributes = [name for dim in DIMENSIONS for name in dim.attributes]
     return found.select(DIMENSION_KEY, *attributes, *[f"{dim.id_col}_FITS" for dim in DIMENSIONS])
 
