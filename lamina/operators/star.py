@@ -81,10 +81,10 @@ def with_dimension_ids(rows: DataFrame, first: int, parts: int) -> DataFrame:
 
     A dimension row is a key with its attribute values; its id is the smallest id of the map rows
     that have them, so ids follow from the rows and no stored table is read. All windows lie
-    within a key, which the rows are dealt by: one shuffle. A row that lacks an attribute has no
+    within a key, which the rows are dealt by before repeats collapse: one shuffle. A row that lacks an attribute has no
     row in that dimension.
     """
-    numbered = keyed_ids(rows.distinct(), DIMENSION_MAP.primary_key, parts, first, [DIMENSION_KEY])
+    numbered = keyed_ids(rows, DIMENSION_MAP.primary_key, parts, first, [DIMENSION_KEY], once=True)
     ids = {}
     for dim in DIMENSIONS:
         same = Window.partitionBy(DIMENSION_KEY, *dim.attributes)
@@ -104,16 +104,23 @@ def dimension_of_map(map_loads: DataFrame, dim: Dimension) -> DataFrame:
     return own.union(map_loads.filter(F.col(dim.id_col).isNull()).select(*rows).distinct())
 
 
-def mapped(facts: DataFrame, dimension_map: DataFrame) -> DataFrame:
+def mapped(facts: DataFrame, dimension_map: DataFrame, parts: int | None = None) -> DataFrame:
     """Fact rows with the three dimension ids, by one join on key and attribute values.
 
     Each line finds at most one row; a line that lacks an attribute is left out. The join has
-    exchanges of its own on both sides, so adaptive execution can split a hot key.
+    exchanges of its own on both sides, so adaptive execution can split a hot key. With ``parts``
+    both sides are dealt by key alone into so many tasks, as the map is stored, and the attributes
+    are compared within a key: for lines of which no key has very many.
     """
     matched = {FACT_KEY: DIMENSION_KEY} | {name: name for dim in DIMENSIONS for name in dim.attributes}
     ids = [dim.id_col for dim in DIMENSIONS]
     found = dimension_map.select(*ids, *[F.col(theirs).alias(f"_map_{ours}") for ours, theirs in matched.items()])
-    joined = facts.join(found, [F.col(ours) == F.col(f"_map_{ours}") for ours in matched], "inner")
+    same = {ours: F.col(ours) == F.col(f"_map_{ours}") for ours in matched}
+    if parts:
+        facts, found = facts.repartition(parts, FACT_KEY), found.repartition(parts, f"_map_{FACT_KEY}")
+        # Not plain equations, so they are no keys of the join, which would deal both sides anew.
+        same |= {ours: F.coalesce(equal, F.lit(False)) for ours, equal in same.items() if ours != FACT_KEY}
+    joined = facts.join(found, list(same.values()), "inner")
     return joined.select(*[c for c in INVOICE_FACT_TABLE.schema.names if c in joined.columns])
 
 

@@ -30,15 +30,18 @@ def last_id(id_col: str | None) -> Column:
     return F.max(id_col) if id_col else F.lit(None).cast("long")
 
 
-def keyed_ids(df: DataFrame, id_col: str, parts: int, start: int = 0, by: Sequence[str] | None = None) -> DataFrame:
+def keyed_ids(
+    df: DataFrame, id_col: str, parts: int, start: int = 0, by: Sequence[str] | None = None, once: bool = False
+) -> DataFrame:
     """Unique ids from ``start`` on that follow from the rows: the same distinct rows get the same ids.
 
     Rows are dealt to ``parts`` tasks by ``by`` (default: all their columns) and sorted there; an
     id is the row's place times ``parts`` plus the part. One shuffle of the rows, no pass over
-    older ones.
+    older ones. With ``once`` repeated rows, which the same task gets, are one row.
     """
     by = list(by or df.columns)
-    placed = df.repartition(parts, *by).sortWithinPartitions(*df.columns)
+    dealt = df.repartition(parts, *by)
+    placed = (dealt.distinct() if once else dealt).sortWithinPartitions(*df.columns)
     part = F.pmod(F.hash(*by), F.lit(parts)).cast("long")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
     numbered = placed.withColumns({_PART: part, _POSITION: place})

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -114,7 +114,11 @@ def load_dimension_map(
     def numbered(rows: DataFrame, first: int, parts: int) -> DataFrame:
         return with_dimension_ids(rows, first, parts).withColumn(MAP_LOAD, F.lit(load))
 
-    return _append_unseen(wh, DIMENSION_MAP, map_rows(silver), None, load, bounds, numbered)
+    def collapsed(rows: DataFrame, first: int, parts: int) -> DataFrame:
+        return numbered(rows.distinct(), first, parts)
+
+    rows = map_rows(silver)
+    return _append_unseen(wh, DIMENSION_MAP, rows, None, load, bounds, collapsed, prepare_dealt=numbered)
 
 
 def load_mapped_dimension(wh: Warehouse, dim: Dimension, load_ts: datetime | None = None) -> Load:
@@ -150,21 +154,27 @@ def load_fact(
     """Unseen lines first, then their dimension ids: the join only carries what will be stored.
 
     At key grain that is one join with the dimension map, of which only the loads in reach of
-    the increment's keys are read. No final distinct: the ids make every row different, so it
+    the increment's keys are read; where no key is hot the lines are dealt as the map is stored. No final distinct: the ids make every row different, so it
     would shuffle everything and remove nothing. Ids come last, so every stored row has its
     own. A key whose lines find no dimension row stays unseen.
     """
     table = INVOICE_FACT_TABLE
 
+    def by_map(rows: DataFrame, first: int, parts: int | None) -> DataFrame:
+        reach = wh.ledger(DIMENSION_MAP).in_reach(*(bounds or {}).get(DIMENSION_KEY, (None, None)))
+        found = mapped(rows, wh.scan(DIMENSION_MAP).filter(F.col(MAP_LOAD).isin(reach)), parts)
+        return sparse_ids(found, table.primary_key, first)
+
     def starred(rows: DataFrame, first: int, parts: int) -> DataFrame:
-        if checked_grain(grain) == KEY:
-            reach = wh.ledger(DIMENSION_MAP).in_reach(*(bounds or {}).get(DIMENSION_KEY, (None, None)))
-            found = mapped(rows, wh.scan(DIMENSION_MAP).filter(F.col(MAP_LOAD).isin(reach)))
-        else:
-            found = star(rows, {dim.table.name: wh.scan(dim.table) for dim in DIMENSIONS}, grain)
+        if grain == KEY:
+            return by_map(rows, first, None)
+        found = star(rows, {dim.table.name: wh.scan(dim.table) for dim in DIMENSIONS}, grain)
         return sparse_ids(found, table.primary_key, first)
 
-    return _append_unseen(wh, table, fact_rows(silver, load_ts), load_ts, load, bounds, starred, drops=True)
+    dealt = by_map if checked_grain(grain) == KEY else None
+    return _append_unseen(
+        wh, table, fact_rows(silver, load_ts), load_ts, load, bounds, starred, drops=True, prepare_dealt=dealt
+    )
 
 
 def load_gold(
@@ -225,12 +235,23 @@ def key_bounds(bronze: DataFrame) -> Bounds:
 
 
 def resolved_facts(wh: Warehouse) -> DataFrame:
-    """Stored facts with their dimension ids looked up again."""
-    facts = wh.scan(INVOICE_FACT_TABLE)
+    """Stored facts with their dimension ids looked up again.
+
+    Where a key does not repeat, its rows in all dimensions have one id: such facts are shuffled by
+    it once for all three lookups, the others for each.
+    """
+    facts, ids = wh.scan(INVOICE_FACT_TABLE), [dim.id_col for dim in DIMENSIONS]
+    one_id = reduce(lambda a, b: a & b, [F.col(ids[0]).eqNullSafe(F.col(c)) for c in ids[1:]])
+    own = [INVOICE_FACT_TABLE.load_key, "QUANTITY", "UNITPRICE", LOAD_DATE]
+    together = facts.filter(one_id).select(F.col(ids[0]).alias("_id"), *own)
+    apart = facts.filter(~one_id).select(*[F.col(c).alias(f"_{c}") for c in ids], *own)
     for dim in DIMENSIONS:
-        facts = facts.join(wh.scan(dim.table).select(dim.id_col, *dim.attributes), dim.id_col)
+        found = wh.scan(dim.table).select(dim.id_col, *dim.attributes)
+        together = together.join(found, F.col("_id") == F.col(dim.id_col))
+        apart = apart.join(found, F.col(f"_{dim.id_col}") == F.col(dim.id_col))
     attributes = [name for dim in DIMENSIONS for name in dim.attributes]
-    return facts.select(INVOICE_FACT_TABLE.load_key, *attributes, "QUANTITY", "UNITPRICE", LOAD_DATE)
+    columns = [INVOICE_FACT_TABLE.load_key, *attributes, "QUANTITY", "UNITPRICE", LOAD_DATE]
+    return together.select(*columns).union(apart.select(*columns))
 
 
 def _stored_silver(wh: Warehouse) -> dict[str, DataFrame]:
@@ -277,6 +298,7 @@ def _append_unseen(
     prepare: Callable[[DataFrame, int, int], DataFrame] | None = None,
     drops: bool = False,
     evolve: bool = False,
+    prepare_dealt: Callable[[DataFrame, int, int], DataFrame] | None = None,
 ) -> Load:
     own = (bounds or {}).get(table.load_key, (None, None)) if table.name not in wh.load_keys else (None, None)
-    return wh.append_unseen(table, rows, load_ts, load, evolve, own, prepare, drops)
+    return wh.append_unseen(table, rows, load_ts, load, evolve, own, prepare, drops, prepare_dealt)

@@ -14,6 +14,7 @@ class Table:
     ``load_key`` is the column that decides whether an incoming row is already
     stored. It and every column declared not nullable are required: rows without
     them are rejected at load. ``foreign_keys`` maps a column to (table, column).
+    ``bucket_by`` names the column whose buckets the loads deal the rows into.
     """
 
     name: str
@@ -23,6 +24,7 @@ class Table:
     primary_key: str | None = None
     foreign_keys: dict[str, tuple[str, str]] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    bucket_by: str | None = None
 
     @property
     def required(self) -> list[str]:
@@ -166,6 +168,7 @@ DIMENSION_MAP = Table(
     DIMENSION_KEY,
     primary_key="MAP_ID",
     partition_by=(MAP_LOAD,),
+    bucket_by=DIMENSION_KEY,
 )
 
 #: What checks of declared keys found: a partition per checked table and load.

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 KEY, LOAD = "LEDGER_KEY", "LEDGER_LOAD"
 #: Between the parts of a key of several columns.
 PART_END = "\x1f"
-_KNOWN = "_known"
+_KNOWN, _TIMES = "_known", "_times"
 
 LOADS_SCHEMA = T.StructType(
     [
@@ -57,6 +57,7 @@ class KeyLedger:
         self._rows: list[Row] | None = None
         self._written: dict[str, tuple] = {}
         self._asked_for: dict[str, int] = {}
+        self._most: dict[str, int] = {}
 
     @cached_property
     def buckets(self) -> int:
@@ -115,20 +116,20 @@ class KeyLedger:
         form: an anti-join would slip below the repartitioning, which then deals both sides.
         Stored keys are distinct, so no row comes twice.
         """
-        return self._compared(keys, low, high).filter(~F.col(_KNOWN)).select(KEY)
+        return self._compared(keys.dropna(), low, high).filter(~F.col(_KNOWN)).select(KEY)
 
     def _compared(self, keys: DataFrame, low: str | None = None, high: str | None = None) -> DataFrame:
-        """The distinct keys, and whether a finished load has them."""
-        ours = keys.dropna().distinct().repartition(self.buckets, KEY)
+        """The distinct keys (one of them may be NULL), how often each came, and whether a finished load has it."""
+        ours = keys.groupBy(KEY).agg(F.count("*").alias(_TIMES)).repartition(self.buckets, KEY)
         stored = self.stored(low, high)
         if stored is None:
             return ours.withColumn(_KNOWN, F.lit(False))
         seen = stored.withColumnRenamed(KEY, "_seen")
         found = ours.join(seen, F.col(KEY) == F.col("_seen"), "left")
-        return found.select(KEY, F.col("_seen").isNotNull().alias(_KNOWN))
+        return found.select(KEY, _TIMES, F.col("_seen").isNotNull().alias(_KNOWN))
 
     def open(self, load: str, keys: DataFrame, low: str | None = None, high: str | None = None) -> None:
-        """Write the unseen ones of ``keys`` (KEY) under ``load``, which is not finished by that."""
+        """Write the unseen ones of ``keys`` (KEY; NULL is none) under ``load``, which is not finished by that."""
         if not self.exists:
             self.create()
         self._write(load, self._compared(keys, low, high))
@@ -137,6 +138,10 @@ class KeyLedger:
         """How many distinct keys ``load`` was opened with, and how many of them no finished load had."""
         return self._asked_for[load], self._written[load][0]
 
+    def most(self, load: str) -> int:
+        """The most rows that came under one key, or without one, when ``load`` was opened."""
+        return self._most[load]
+
     def narrow(self, load: str, keys: DataFrame) -> None:
         """Keep only ``keys`` (KEY, repeats allowed) of an open load."""
         self._write(load, keys.dropna().distinct().repartition(self.buckets, KEY))
@@ -146,14 +151,14 @@ class KeyLedger:
             raise ValueError(f"load {load!r} of {self.name} is finished")
         self._forget(load)
         if _KNOWN not in keys.columns:
-            keys = keys.withColumn(_KNOWN, F.lit(False))
+            keys = keys.withColumns({_KNOWN: F.lit(False), _TIMES: F.lit(1)})
         observation, fresh = Observation(f"{self.name} {load}"), F.when(~F.col(_KNOWN), F.col(KEY))
         counted = keys.observe(
-            observation, F.count("*").alias("all"), F.count(fresh).alias("n"), F.min(fresh).alias("low"), F.max(fresh).alias("high"),
+            observation, F.count(KEY).alias("all"), F.max(_TIMES).alias("most"), F.count(fresh).alias("n"), F.min(fresh).alias("low"), F.max(fresh).alias("high"),
         )
         into = f"INSERT INTO {self.keys_table} PARTITION ({LOAD} = '{load}')"
-        self.spark.sql(f"{into} SELECT {KEY} FROM {{keys}}", keys=counted.filter(~F.col(_KNOWN)))
-        self._asked_for[load] = observation.get["all"]
+        self.spark.sql(f"{into} SELECT {KEY} FROM {{keys}}", keys=counted.filter(~F.col(_KNOWN) & F.col(KEY).isNotNull()))
+        self._asked_for[load], self._most[load] = observation.get["all"], observation.get["most"] or 0
         self._written[load] = tuple(observation.get[c] for c in ("n", "low", "high"))
 
     def _forget(self, load: str) -> None:

@@ -20,6 +20,8 @@ from lamina.session import temporary
 from lamina.sources.ledger import KEY, KeyLedger, key_of
 
 LAYERS = ("bronze", "silver", "gold")
+#: Rows of one key that may go to one task; where a key has more, loads use joins that split it.
+HOT_ROWS = 1_000
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -107,7 +109,11 @@ class Warehouse:
         )
         partitions = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
         options = "OPTIONS (compression 'zstd')" if self.fmt == "parquet" else ""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING {self.fmt} {options} {partitions}")
+        number = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = f"CLUSTERED BY ({table.bucket_by}) INTO {number} BUCKETS" if table.bucket_by else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING {self.fmt} {options} {partitions} {dealt}"
+        )
 
     def scan(self, table: Table) -> DataFrame:
         """Stored rows; no rows of the declared columns while the table is missing."""
@@ -179,6 +185,7 @@ class Warehouse:
         bounds: tuple[str | None, str | None] = (None, None),
         prepare: Callable[[DataFrame, int, int], DataFrame] | None = None,
         drops: bool = False,
+        prepare_dealt: Callable[[DataFrame, int, int], DataFrame] | None = None,
     ) -> Load:
         """Append the rows whose load key no finished load brought, all rows of a key together.
 
@@ -189,7 +196,9 @@ class Warehouse:
 
         ``prepare`` gets the unseen rows, the first free id and the ledger's number of buckets (which
         stays as it is for good), and may add columns; with
-        ``drops`` it may also leave rows out, and keys that have none left stay unseen.
+        ``drops`` it may also leave rows out, and keys that have none left stay unseen. ``prepare_dealt``
+        takes its place when no key has more than ``HOT_ROWS`` rows, and no more have none: it deals the
+        rows by key into that number of buckets, and they are looked up as they are dealt, in one shuffle.
         Rows that NOT NULL rejects make no key known and are counted whenever they come.
         """
         load, ledger, key = load or uuid.uuid4().hex, self.ledger(table), self.key(table)
@@ -202,9 +211,11 @@ class Warehouse:
             ledger.adopt(self.scan(table), key, ids)
         here = [c for c in table.required if c in incoming.columns]
         rejected = F.lit(False) if not here else reject_reason(here).isNotNull()
-        ledger.open(load, incoming.filter(~rejected).select(key.alias(KEY)), *bounds)
+        ledger.open(load, incoming.select(F.when(~rejected, key).alias(KEY)), *bounds)
         first = ledger.next_id() if ids else None
-        rows = unseen_rows(incoming, key, ledger, load, rejected)
+        dealt = prepare_dealt is not None and ledger.most(load) <= HOT_ROWS
+        prepare = prepare_dealt if dealt else prepare
+        rows = unseen_rows(incoming, key, ledger, load, rejected, dealt)
         if not drops:
             done = self.append(table, prepare(rows, first, ledger.buckets) if prepare else rows, load_ts, evolve)
         else:
@@ -254,7 +265,9 @@ class ConnectorWarehouse(Warehouse):
         append_connector(rows, self.connector, self.options, self.name(table))
 
 
-def unseen_rows(incoming: DataFrame, key: Column, ledger: KeyLedger, load: str, also: Column) -> DataFrame:
+def unseen_rows(
+    incoming: DataFrame, key: Column, ledger: KeyLedger, load: str, also: Column, dealt: bool = False
+) -> DataFrame:
     """``with_keys`` for the keys that ``ledger`` opened ``load`` with out of those of ``incoming``.
 
     Where the ledger counted that all of them or none are unseen, no key has to be looked up and
@@ -265,6 +278,8 @@ def unseen_rows(incoming: DataFrame, key: Column, ledger: KeyLedger, load: str,
         return incoming
     if not unseen:
         return incoming.filter(key.isNull() | also)
+    if dealt:
+        return dealt_with_keys(incoming, key, ledger.opened(load), also, ledger.buckets)
     return with_keys(incoming, key, ledger.opened(load), also)
 
 
@@ -272,10 +287,17 @@ def with_keys(incoming: DataFrame, key: Column, keys: DataFrame, also: Column) -
     """Rows of ``incoming`` whose key is one of the distinct ``keys``, is NULL, or for which ``also`` holds.
 
     Only the keys of one load are on the right. Comparing a digest as well gives both sides
-    exchanges of their own, so adaptive execution can split a hot key.
+    exchanges of their own, so adaptive execution can split a hot key. The rows are shuffled
+    with no column but their own.
     """
     wanted = keys.withColumnRenamed(KEY, "_wanted")
-    marked = incoming.withColumns({"_key": key, "_also": also})
-    same = (F.col("_key") == F.col("_wanted")) & (F.xxhash64("_key") == F.xxhash64("_wanted"))
-    found = marked.join(wanted, same, "left")
-    return found.filter("_wanted is not null or _key is null or _also").drop("_key", "_also", "_wanted")
+    same = (key == F.col("_wanted")) & (F.xxhash64(key) == F.xxhash64("_wanted"))
+    found = incoming.join(wanted, same, "left")
+    return found.filter(F.col("_wanted").isNotNull() | key.isNull() | also).drop("_wanted")
+
+
+def dealt_with_keys(incoming: DataFrame, key: Column, keys: DataFrame, also: Column, buckets: int) -> DataFrame:
+    """``with_keys`` for rows that go on to be dealt by key into the ledger's ``buckets``: one shuffle for both."""
+    wanted = keys.withColumnRenamed(KEY, "_wanted")
+    found = incoming.repartition(buckets, key).join(wanted, key == F.col("_wanted"), "left")
+    return found.filter(F.col("_wanted").isNotNull() | key.isNull() | also).drop("_wanted")
