@@ -124,22 +124,28 @@ def mapped(facts: DataFrame, dimension_map: DataFrame, parts: int | None = None)
     return joined.select(*[c for c in INVOICE_FACT_TABLE.schema.names if c in joined.columns])
 
 
-def star(facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE) -> DataFrame:
+def star(
+    facts: DataFrame, dims: dict[str, DataFrame], grain: str = LINE, parts: int | None = None
+) -> DataFrame:
     """Fact rows with the three dimension ids; a row without a match in any dimension is left out.
 
     ``grain="line"`` matches on the natural key alone, against line-grain
     dimensions: a key on k lines then gives k^4 rows. ``grain="key"`` matches on
     key and attribute values, against key-grain dimensions: each line finds at
     most one row per dimension, however often its key repeats. Every join has
-    exchanges of its own there, so adaptive execution can split a hot key.
+    exchanges of its own there, so adaptive execution can split a hot key. With ``parts`` all
+    sides are dealt by key alone into so many tasks, the facts once for all three joins, and
+    the attributes are compared within a key: for lines of which no key has very many.
     """
-    checked_grain(grain)
-    joined = facts
+    joined = facts.repartition(parts, FACT_KEY) if checked_grain(grain) == KEY and parts else facts
     for dim in DIMENSIONS:
         matched_on = [DIMENSION_KEY] if grain == LINE else [DIMENSION_KEY, *dim.attributes]
         found = dims[dim.table.name].select(dim.id_col, *[F.col(c).alias(f"_{dim.id_col}_{c}") for c in matched_on])
         ours = [FACT_KEY, *matched_on[1:]]
         same = [F.col(a) == F.col(f"_{dim.id_col}_{c}") for a, c in zip(ours, matched_on)]
+        if grain == KEY and parts:
+            found = found.repartition(parts, f"_{dim.id_col}_{DIMENSION_KEY}")
+            same[1:] = [F.coalesce(equal, F.lit(False)) for equal in same[1:]]
         joined = joined.join(found, same, "inner")
     return joined.select(*[c for c in INVOICE_FACT_TABLE.schema.names if c in joined.columns])
 

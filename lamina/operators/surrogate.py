@@ -87,8 +87,8 @@ def dense_ids(
 
     The rows are written before they are ranged, because ranging reads them twice
     (once for a sample) and positions have to be the same when a task is run
-    again. ``rows_stored`` says that ``df`` is a narrow view of stored rows, which
-    saves this step. They are written again when sorted, because counting and
+    again. ``rows_stored`` says that ``df`` is a narrow view of stored rows, or that no
+    two of its rows tie, which saves this step. They are written again when sorted, because counting and
     shifting have to see the same partitions.
     """
     order = list(order_by or df.columns)

@@ -56,7 +56,7 @@ from lamina.sources.csv_files import read_csv_by_header, read_csv_folder, write_
 from lamina.sources.invoices import EXTRA_COLUMNS, invoice_lines
 from lamina.sources.ledger import KEY as LEDGER_KEY
 from lamina.sources.ledger import key_of
-from lamina.sources.tables import ConnectorWarehouse, Warehouse, is_empty, unseen_rows
+from lamina.sources.tables import HOT_ROWS, ConnectorWarehouse, Warehouse, is_empty, unseen_rows
 from lamina.streaming.arrivals import arriving_lines, start_folder_load, start_incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,9 +248,9 @@ def _numbered(rows: DataFrame, dim: Dimension, start: int = 0, rows_stored: bool
 
 
 def _dimension(lines: DataFrame, dim: Dimension, grain: str = LINE) -> DataFrame:
-    """``dim`` with ids over stored ``lines``."""
+    """``dim`` with ids over stored ``lines``. At key grain no two rows tie, so they need not be stored first."""
     accepted, _ = quality.split_required(dimension_rows(lines, dim, STAMP, grain), dim.table.required)
-    return _numbered(accepted, dim, rows_stored=grain == LINE)
+    return _numbered(accepted, dim, rows_stored=True)
 
 
 def _unseen_dimension(lines: DataFrame, dim: Dimension) -> DataFrame:
@@ -296,11 +296,17 @@ def _numbered_facts(lines: DataFrame, start: int = 0, rows_stored: bool = True)
     return dense_ids(lines, INVOICE_FACT_TABLE.primary_key, INVOICE_ORDER, start, rows_stored)
 
 
+def _parts(lines: DataFrame) -> int | None:
+    """The tasks that lines may be dealt to by key; None where a key has more lines than one task should get."""
+    most = lines.groupBy(natural_key()).count().agg(F.max("count")).first()[0]
+    return int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")) if (most or 0) <= HOT_ROWS else None
+
+
 def _facts(spark: SparkSession, folder: str, grain: str) -> DataFrame:
     lines = _kept_silver(spark, folder)
     dims = {dim.table.name: _dimension(lines, dim, grain) for dim in DIMENSIONS}
     facts = _numbered_facts(fact_rows(lines, STAMP))
-    return conform(star(facts, dims, grain), INVOICE_FACT_TABLE.schema)
+    return conform(star(facts, dims, grain, _parts(lines) if grain == KEY else None), INVOICE_FACT_TABLE.schema)
 
 
 @query

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from lamina.operators.star import DIMENSIONS, PRODUCT, fact_rows, map_rows, mapped, with_dimension_ids
+from lamina.operators.star import DIMENSIONS, KEY as KEY_GRAIN
+from lamina.operators.star import PRODUCT, dimension_rows, fact_rows, map_rows, mapped, star, with_dimension_ids
 from lamina.plans.layers import load_dimension_map, load_fact, load_mapped_dimension, resolved_facts
+from lamina.plans import queries as plans
 from lamina.plans.queries import _shared_ids, _warehouse
 from lamina.schemas import DIMENSION_KEY, DIMENSION_MAP, FACT_KEY, INVOICE_FACT_TABLE
 from lamina.sources import tables
@@ -129,3 +131,19 @@ def test_csv_folders_are_compressed(spark, warehouse):
     found = read_csv_folder(spark, path)
     assert all(name.endswith(".csv.gz") for name in found.inputFiles())
     assert rows(found) == rows(lines(spark, "1", "2"))
+
+
+def test_star_facts_are_shuffled_once(spark, warehouse, large):
+    made = silver(spark, FIRST + LATER)
+    facts = stored(spark, warehouse, fact_rows(made, STAMP), "facts")
+    dims = {d.table.name: dimension_rows(made, d, STAMP, KEY_GRAIN).withColumn(d.id_col, F.lit(1)) for d in DIMENSIONS}
+    dealt = star(facts, dims, KEY_GRAIN, 4)
+    assert exchanges_above(plan_of(dealt), "Scan parquet") == 1
+    assert rows(dealt) == rows(star(facts, dims, KEY_GRAIN)) and dealt.count() == 7
+
+
+def test_lines_of_a_hot_key_are_not_dealt(spark, monkeypatch):
+    made = silver(spark, FIRST)
+    assert plans._parts(made) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(plans, "HOT_ROWS", 1)
+    assert plans._parts(made) is None and plans._parts(made.limit(0)) is not None
