@@ -6,7 +6,9 @@ rotation and cut into column blocks. Centroids, fitted on a bounded sample, deal
 vectors into lists; a query looks at the lists of its nearest centroids. Within a list
 the distance grows column block by column block, and a candidate is abandoned as soon as
 a hypothesis test on the partial distance says it will not reach the best k: with random
-rotation the first d of D components hold about d/D of the squared distance.
+rotation the first d of D components hold about d/D of the squared distance. The distance
+to reach is that of the (2k+1)-th of the sample in all lists that the query looks at, and
+goes along to each of them.
 
 Survivors are scored on the original vectors in double precision, component after
 component, so equal vectors score equally; ties go to the smaller vec_id.
@@ -39,15 +41,22 @@ COLUMNS, STRICT = 16, 2.1
 VECTORS, QUERIES = 4096, 512
 #: Pairs that one step of the scan holds.
 PAIRS = 1 << 18
+#: The scan goes on pair by pair once fewer than one in so many is alive.
+SPARSE = 16
+#: Scores of queries with the sample that are held at once.
+SCORES = 1 << 22
 
 
 @dataclass
 class Index:
-    """Longest length, rotation, and rotated centroids."""
+    """Longest length, rotation, rotated centroids, and the sample by vec_id with its lists."""
 
     longest: float
     rotation: np.ndarray
     centroids: np.ndarray
+    drawn: np.ndarray
+    drawn_ids: np.ndarray
+    drawn_lists: np.ndarray
 
     def turned(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         rest = np.zeros(len(vectors)) if query else np.maximum(self.longest**2 - (vectors**2).sum(axis=1), 0.0)
@@ -83,12 +92,13 @@ def fit(rows: DataFrame, sample: int = SAMPLE, rounds: int = 10, seed: int = 11)
     if not n:
         return None
     draw = F.pmod(F.xxhash64(F.lit("sample"), "vec_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = np.array([r.vector for r in rows.filter(draw < min(1.0, sample / n)).select("vector").collect()])
-    if not len(drawn):
-        drawn = np.array([r.vector for r in rows.select("vector").limit(1).collect()])
+    found = rows.filter(draw < min(1.0, sample / n)).select("vec_id", "vector").collect()
+    found = sorted(found or rows.select("vec_id", "vector").limit(1).collect(), key=lambda r: r.vec_id)
+    drawn = np.array([r.vector for r in found])
     random = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(random.normal(size=(drawn.shape[1] + 1,) * 2))
-    index = Index(float(longest), rotation, np.zeros((1, drawn.shape[1] + 1)))
+    drawn_ids = np.array([r.vec_id for r in found], np.int64)
+    index = Index(float(longest), rotation, np.zeros((1, drawn.shape[1] + 1)), drawn, drawn_ids, drawn_ids)
     drawn = index.turned(drawn[np.lexsort(drawn.T)], query=False)
     lists = 1 if n <= EXHAUSTIVE else min(MOST_LISTS, math.isqrt(n), len(drawn))
     index.centroids = drawn[random.permutation(len(drawn))[:lists]]
@@ -97,34 +107,42 @@ def fit(rows: DataFrame, sample: int = SAMPLE, rounds: int = 10, seed: int = 11)
         sums, counts = np.zeros_like(index.centroids), np.bincount(own, minlength=lists)
         np.add.at(sums, own, drawn)
         index.centroids = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], index.centroids)
+    # As the rows are dealt: to the first of the nearest centroids.
+    index.drawn_lists = index.distances(index.turned(index.drawn, query=False)).argmin(axis=1)
     return index
 
 
-def _dealt(rows: DataFrame, index: Index, probes: int, query: bool) -> DataFrame:
-    """vec_id, vector and the lists of its ``probes`` nearest centroids, a row for each."""
+def _dealt(rows: DataFrame, index: Index, probes: int, query: bool, k: int = 0) -> DataFrame:
+    """vec_id, vector and the lists of its ``probes`` nearest centroids, a row for each; beat, of queries."""
     shared = rows.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = shared.value.distances(shared.value.turned(_matrix(batch.column("vector")), query))
+            vectors = _matrix(batch.column("vector"))
+            near = shared.value.distances(shared.value.turned(vectors, query))
             lists = np.argsort(near, axis=1, kind="stable")[:, :probes]
             again = pa.array(np.repeat(np.arange(batch.num_rows), lists.shape[1]))
-            columns = [c.take(again) for c in batch.columns]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(lists.ravel().astype(np.int32))], ["vec_id", "vector", "list"]
-            )
+            found = {c: batch.column(c).take(again) for c in ("vec_id", "vector")}
+            found["list"] = pa.array(lists.ravel().astype(np.int32))
+            if query:
+                # About twice as many as are asked for: the test may abandon a few of them.
+                beat = to_beat(shared.value, vectors, batch.column("vec_id").to_numpy(), lists, 2 * k + 1)
+                found["beat"] = pa.array(beat).take(again)
+            yield pa.RecordBatch.from_pydict(found)
 
-    return rows.select("vec_id", "vector").mapInArrow(run, "vec_id long, vector array<double>, list int")
+    schema = "vec_id long, vector array<double>, list int" + (", beat double" if query else "")
+    return rows.select("vec_id", "vector").mapInArrow(run, schema)
 
 
 def _blocks(dealt: DataFrame, lists: int, rows: int, prefix: str) -> DataFrame:
-    """list, and ids and vectors of up to ``rows`` rows of it. A long list is dealt over many tasks."""
+    """list, and ids, vectors and beats of up to ``rows`` rows of it. A long list is dealt over many tasks."""
     sizes = np.zeros(lists, np.int64)
     for row in dealt.groupBy("list").count().collect():  # one row per list
         sizes[row["list"]] = row["count"]
     parts = F.array(*[F.lit(int(-(-n // rows) or 1)) for n in sizes])
+    beats = "beat" in dealt.columns
     salted = dealt.withColumn("salt", F.pmod(F.xxhash64("vec_id"), parts[F.col("list")]))
     sorted_ = salted.repartition("list", "salt").sortWithinPartitions("list", "salt", "vec_id")
 
@@ -139,11 +157,15 @@ def _blocks(dealt: DataFrame, lists: int, rows: int, prefix: str) -> DataFrame:
                     part = batch.slice(k, min(rows, b - k))
                     vectors = _matrix(part.column("vector"))
                     found = [[int(own[a])], [part.column("vec_id").to_pylist()], [vectors.tobytes()]]
-                    types = [pa.int32(), pa.list_(pa.int64()), pa.binary()]
+                    types, names = [pa.int32(), pa.list_(pa.int64()), pa.binary()], ["list", "ids", "vectors"]
+                    if beats:
+                        found.append([part.column("beat").to_numpy().tobytes()])
+                        types, names = [*types, pa.binary()], [*names, "beats"]
                     arrays = [pa.array(v, t) for v, t in zip(found, types)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["list", f"{prefix}_ids", f"{prefix}_vectors"])
+                    yield pa.RecordBatch.from_arrays(arrays, [names[0], *[f"{prefix}_{n}" for n in names[1:]]])
 
-    return sorted_.mapInArrow(run, f"list int, {prefix}_ids array<long>, {prefix}_vectors binary")
+    schema = f"list int, {prefix}_ids array<long>, {prefix}_vectors binary"
+    return sorted_.mapInArrow(run, schema + (f", {prefix}_beats binary" if beats else ""))
 
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -152,34 +174,39 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 def scan(
-    index: Index, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
+    index: Index,
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    k: int,
+    beat: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places of the queries, vec_ids, scores) of the best k of one block for each query, by the adaptive scan.
 
-    All pairs that are still alive go through a column block together.
+    All pairs that are still alive go through a column block together; while most are, that is
+    one product of two matrices. ``beat`` is a squared distance that k candidates of the query are
+    known to reach, wherever they are.
     """
     turned, asked = index.turned(vectors, query=False), index.turned(queries, query=True)
     width = turned.shape[1]
     slack = 1e-9 * (index.longest**2 + 1e-300)
-    # The first candidates are kept in any case; their k-th distance is the one to beat.
-    lead = min(2 * k + 1, len(ids))
-    whole = ((asked[:, None, :] - turned[None, :lead, :]) ** 2).sum(axis=2)
-    whole[query_ids[:, None] == ids[None, :lead]] = np.inf
-    beat = np.partition(whole, min(k, lead) - 1, axis=1)[:, min(k, lead) - 1]
-    q, v = (x.ravel() for x in np.mgrid[: len(query_ids), lead : len(ids)])
-    partial = np.zeros(len(q))
+    # Distances of all pairs while they are dense, then of the pairs (q, v) that are left.
+    dense, q, v, partial = np.zeros((len(query_ids), len(ids))), None, None, None
     for a in range(0, width, COLUMNS):
         b = min(a + COLUMNS, width)
         x, y = asked[:, a:b], turned[:, a:b]
-        if a == 0:  # all pairs are alive: one product of two matrices
-            partial = ((x**2).sum(axis=1)[:, None] + (y[lead:] ** 2).sum(axis=1) - 2 * x @ y[lead:].T).ravel()
+        bound = (beat * (1 + STRICT / math.sqrt(b)) ** 2 if b < width else beat) + slack
+        if q is None:
+            dense += (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1) - 2 * x @ y.T
+            keep = dense <= (bound * (b / width))[:, None]
+            if b == width or np.count_nonzero(keep) * SPARSE < keep.size:
+                q, v = np.nonzero(keep)
+                partial = dense[q, v]
         else:
             partial = partial + ((x[q] - y[v]) ** 2).sum(axis=1)
-        bound = beat[q] * (1 + STRICT / math.sqrt(b)) ** 2 if b < width else beat[q]
-        keep = partial * (width / b) <= bound + slack
-        q, v, partial = q[keep], v[keep], partial[keep]
-    first_q, first_v = (x.ravel() for x in np.mgrid[: len(query_ids), :lead])
-    q, v = np.concatenate([first_q, q]), np.concatenate([first_v, v])
+            keep = partial * (width / b) <= bound[q]
+            q, v, partial = q[keep], v[keep], partial[keep]
     other = query_ids[q] != ids[v]
     q, v = q[other], v[other]
     scores = exact(vectors[v], queries[q])
@@ -190,6 +217,27 @@ def scan(
     return q[best], ids[v[best]], scores[best]
 
 
+def to_beat(index: Index, queries: np.ndarray, query_ids: np.ndarray, lists: np.ndarray, k: int) -> np.ndarray:
+    """For each query a squared distance that k of the sample's rows reach in the ``lists`` it looks at.
+
+    These rows are candidates themselves, so the k nearest of all are no farther. It is infinite
+    where there are too few that are not rows of the query's own id.
+    """
+    found = np.full(len(queries), np.inf)
+    step = max(1, SCORES // max(1, len(index.drawn)))
+    for a in range(0, len(queries) if len(index.drawn) >= k else 0, step):
+        some, ids = queries[a : a + step], query_ids[a : a + step]
+        probed = np.zeros((len(some), len(index.centroids)), bool)
+        np.put_along_axis(probed, lists[a : a + step], True, axis=1)
+        scores = np.where(probed[:, index.drawn_lists], some @ index.drawn.T, -np.inf)
+        first, last = (np.searchsorted(index.drawn_ids, ids, side) for side in ("left", "right"))
+        for i in np.flatnonzero(last > first):
+            scores[i, first[i] : last[i]] = -np.inf
+        least = np.partition(scores, len(index.drawn) - k, axis=1)[:, len(index.drawn) - k]
+        found[a : a + step] = (some**2).sum(axis=1) + index.longest**2 - 2 * least
+    return found
+
+
 def search(
     vectors: DataFrame, is_query: Column, k: int = 20, probed: float = PROBED, sample: int = SAMPLE
 ) -> DataFrame:
@@ -207,7 +255,9 @@ def search(
     probes = lists if lists == 1 else max(2, math.ceil(lists * probed))
     stored = _blocks(materialize(_dealt(rows, index, 1, query=False), "dealt"), lists, VECTORS, "v")
     asked = rows.filter(is_query).dropDuplicates(["vec_id", "vector"])
-    asked = _blocks(materialize(_dealt(asked, index, probes, query=True), "asked"), lists, QUERIES, "q")
+    # Few as they may be, all tasks compare them with the sample.
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id")
+    asked = _blocks(materialize(_dealt(asked, index, probes, query=True, k=k), "asked"), lists, QUERIES, "q")
     shared = spark.sparkContext.broadcast(index)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +266,11 @@ def search(
                 query_ids, ids = (np.array(row[c], np.int64) for c in ("q_ids", "v_ids"))
                 queries = np.frombuffer(row["q_vectors"]).reshape(len(query_ids), -1)
                 stored = np.frombuffer(row["v_vectors"]).reshape(len(ids), -1)
+                beat = np.frombuffer(row["q_beats"])
                 step = max(1, PAIRS // len(ids))
                 for a in range(0, len(query_ids), step):
                     some = slice(a, a + step)
-                    q, v, scores = scan(shared.value, query_ids[some], queries[some], ids, stored, k)
+                    q, v, scores = scan(shared.value, query_ids[some], queries[some], ids, stored, k, beat[some])
                     digests = [xxhash.xxh3_64_intdigest(own.tobytes()) for own in queries[some]]
                     found = (query_ids[some][q], np.array(digests, np.uint64).view(np.int64)[q], v, scores)
                     yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "query", "vec_id", "score"), found)))

@@ -1,0 +1,58 @@
+"""The distance that a query takes along to its lists."""
+
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from lamina.llm import ann
+
+K = 5
+
+
+def spread(spark, n=600, width=12, twice=()):
+    random = np.random.default_rng(8)
+    made = random.normal(size=(n, width))
+    ids = [*range(n), *twice]
+    rows = [(i, made[i].tolist()) for i in range(n)] + [(i, (-made[i]).tolist()) for i in twice]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>"), np.array(ids), np.array([r[1] for r in rows])
+
+
+def test_lists_give_only_what_the_sample_does_not_rule_out(spark):
+    vectors, ids, all_ = spread(spark, twice=(0, 20))
+    index = ann.fit(ann.usable(vectors), sample=200)
+    asked = np.flatnonzero(ids % 20 == 0)
+    near = index.distances(index.turned(all_[asked], query=True))
+    lists = np.argsort(near, axis=1)[:, : int(0.8 * len(index.centroids))]
+    beat = ann.to_beat(index, all_[asked], ids[asked], lists, 2 * K + 1)
+    own = index.distances(index.turned(all_, query=False)).argmin(axis=1)
+    for query, probed, least in zip(asked, lists, beat):
+        scores = all_ @ all_[query]
+        distance = (all_[query] ** 2).sum() + index.longest**2 - 2 * scores
+        candidates = (ids != ids[query]) & np.isin(own, probed)
+        assert (distance[candidates] <= least + 1e-9).sum() >= 2 * K + 1
+        assert (distance <= least + 1e-9).sum() < len(ids) / 4
+    given = 0
+    for block in range(len(index.centroids)):
+        q, found, scores = ann.scan(index, ids[asked], all_[asked], ids[own == block], all_[own == block], K, beat)
+        given += len(q)
+        assert (((all_[asked] ** 2).sum(axis=1) + index.longest**2)[q] - 2 * scores <= beat[q] + 1e-6).all()
+    assert given < len(asked) * K * len(index.centroids) / 2
+
+
+def test_each_query_gets_k_rows_beside_rows_of_its_id(spark):
+    vectors, ids, all_ = spread(spark, twice=(0, 20))
+    found = ann.search(vectors, F.col("vec_id") % 20 == 0, K, sample=100).collect()
+    assert Counter(r.query_id for r in found) == Counter({i: K * (2 if i in (0, 20) else 1) for i in range(0, 600, 20)})
+    assert all(r.query_id != r.vec_id for r in found)
+    want = sum(
+        len({r.vec_id for r in found if r.query_id == q} & set(ids[np.lexsort((ids, -np.where(ids == q, -np.inf, all_ @ all_[q])))[:K]]))
+        for q in range(40, 600, 20)
+    )
+    assert want >= 0.9 * K * len(range(40, 600, 20))
+
+
+def test_few_rows_are_all_found(spark):
+    vectors, ids, _ = spread(spark, n=7)
+    found = ann.search(vectors, F.col("vec_id") == 0, 20).collect()
+    assert sorted(r.vec_id for r in found) == [1, 2, 3, 4, 5, 6]
