@@ -113,8 +113,8 @@ class RaggedCache:
     """Values of texts that are joined from the values of their parts, each part worked out once.
 
     ``split`` cuts ordinary texts in Arrow and ``parts`` any other text; ``learn`` gives the
-    values of new parts. At most about ``kept`` parts are remembered, then the memory starts
-    anew: it saves time and changes no result.
+    values of new parts. When more than about ``kept`` parts are remembered, those that few calls
+    asked for go: the memory saves time and changes no result.
     """
 
     #: An RE2 pattern of texts that ``parts`` has to cut.
@@ -128,6 +128,17 @@ class RaggedCache:
         self.known = _Numbered()
         self.flat = np.empty(0, np.int32)
         self.starts = np.zeros(1, np.int64)
+        self.uses = np.empty(0, np.uint8)
+
+    def thin(self) -> None:
+        """Keep the parts that several calls asked for since the last time; none when they are too many."""
+        again = np.flatnonzero(self.uses > 1)
+        if 2 * len(again) > len(self.uses):
+            return self.forget()
+        words = list(self.known)
+        flat, lengths = ragged(self.flat, self.starts, again)
+        self.known = _Numbered(zip([words[i] for i in again.tolist()], range(len(again))))
+        self.flat, self.starts, self.uses = flat, starts_of(lengths), np.zeros(len(again), np.uint8)
 
     def split(self, texts: pa.Array) -> pa.Array:
         raise NotImplementedError
@@ -142,7 +153,7 @@ class RaggedCache:
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All values one after another, and the number of values of each text; null is empty."""
         if len(self.known) > self.kept:
-            self.forget()
+            self.thin()
         texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
         odd = pc.match_substring_regex(texts, self.odd)
         lists = self.split(pc.if_else(odd, "", texts))
@@ -158,5 +169,7 @@ class RaggedCache:
             flat, lengths = self.learn(list(islice(self.known, learned, None)))
             self.flat = np.concatenate([self.flat, flat])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+            self.uses = np.concatenate([self.uses, np.zeros(len(lengths), np.uint8)])
+        self.uses[numbers] = np.minimum(self.uses[numbers], 1) + 1
         flat, lengths = ragged(self.flat, self.starts, numbers[encoded.indices.to_numpy(zero_copy_only=False)])
         return flat, np.diff(starts_of(lengths)[starts_of(counts)])
