@@ -31,7 +31,10 @@ def apart(docs: DataFrame, keep: Sequence[str] = ("doc_id", "text")) -> DataFram
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES, rows: int = SLICE_ROWS
 ) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds at most ``limit`` bytes of ``text``, or a single row."""
+    """The batches cut so that each holds at most ``limit`` bytes of ``text``, or a single row.
+
+    After each batch Arrow gives back the memory that its work has left unused.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -42,6 +45,8 @@ def slices(
             end = min(max(end, begin + 1), begin + rows)
             yield batch.slice(begin, end - begin)
             begin = end
+        # What the pool holds and does not use would stay with the worker, through later stages as well.
+        pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:

@@ -3,10 +3,11 @@
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from lamina.llm import byte_ids
-from lamina.llm.common import starts_of
+from lamina.llm import byte_ids, common
+from lamina.llm.common import slices, starts_of
 
 
 def whole(texts):
@@ -44,3 +45,20 @@ def test_a_full_memory_keeps_what_came_again(monkeypatch):
         assert cut(coder, [text, ""]) == whole([text, ""])
         assert coder.bytes < 200_000
     assert "again" in coder.known and all(seen[1:]) and len(coder.known) < 12 * 150
+
+
+def test_each_batch_of_texts_gives_its_memory_back(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(1)
+
+    class Arrow:
+        RecordBatch = pa.RecordBatch
+        default_memory_pool = Pool
+
+    monkeypatch.setattr(common, "pa", Arrow)
+    batches = [pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 30]})] * 2
+    assert [part.num_rows for part in slices(iter(batches), limit=10)] == [2, 1, 2, 1]
+    assert len(released) == len(batches)
