@@ -35,7 +35,7 @@ _BARE = "\0"
 #: Punctuation but the apostrophe, which may begin a contraction, after a Latin letter.
 _STOP = r"([a-zA-ZÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
 #: Ordinary new pieces that the tokenizer gets as one text.
-TOGETHER = 64
+TOGETHER = 256
 
 
 def vocabulary_path(name: str = BYTE_BPE) -> str:

@@ -26,12 +26,19 @@ from lamina.session import discard, fresh_path
 
 #: A block closes once it has this many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
+#: Bytes of text that a task encodes at once: the more, the fewer times a frequent piece is looked up.
+ENCODE_BYTES = 12_000_000
 
 _CONTROL = np.arange(256)
 #: Fixed by the format: the four lengths, 1 to 4, that each control byte stands for.
 LENGTHS = np.stack([(_CONTROL >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.uint8)
 
 
+def _width(lengths: np.ndarray) -> np.dtype:
+    """Numbers that hold ranks of these lengths: bytes that no rank has need not be masked."""
+    return np.dtype("<u2" if lengths.max(initial=1) <= 2 else "<u4")
+
+
 def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit ranks."""
     ranks = ranks.astype(np.uint32)
@@ -39,16 +46,16 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = lengths - 1
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), raw[np.arange(4) < lengths[:, None]].tobytes()
+    raw = ranks.astype(_width(lengths)).view(np.uint8).reshape(-1, _width(lengths).itemsize)
+    return control.tobytes(), raw[np.arange(raw.shape[1]) < lengths[:, None]].tobytes()
 
 
 def unpack_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The ranks that ``pack_ranks`` packed."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
-    raw = np.zeros((count, 4), np.uint8)
-    raw[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return raw.view("<u4").ravel()
+    raw = np.zeros((count, _width(lengths).itemsize), np.uint8)
+    raw[np.arange(raw.shape[1]) < lengths[:, None]] = np.frombuffer(data, np.uint8)
+    return raw.view(_width(lengths)).ravel().astype("<u4", copy=False)
 
 
 _IDS = pa.schema(
@@ -66,7 +73,7 @@ def document_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         coder = encoder(vocabulary)
         size = coder.tokenizer.get_vocab_size()
         kind, total = id_type(size), np.zeros(size, np.int64)
-        for part in slices(batches):
+        for part in slices(batches, limit=ENCODE_BYTES):
             flat, counts = coder.encode(part.column("text"))
             ends = starts_of(counts)
             flat = flat.astype(kind)

@@ -62,3 +62,18 @@ def test_each_batch_of_texts_gives_its_memory_back(monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 30]})] * 2
     assert [part.num_rows for part in slices(iter(batches), limit=10)] == [2, 1, 2, 1]
     assert len(released) == len(batches)
+
+
+def test_new_pieces_reach_the_tokenizer_as_few_texts():
+    coder, given = byte_ids.PieceEncoder(byte_ids.vocabulary_path()), []
+    tokenizer = coder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **more)
+
+    coder.tokenizer = Counted()
+    text = " ".join(f"w{n}" for n in range(1000))
+    assert cut(coder, [text]) == whole([text])
+    assert len(given) <= 6

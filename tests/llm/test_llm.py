@@ -90,6 +90,13 @@ def test_ranks_round_trip():
         assert (token_files.unpack_ranks(*token_files.pack_ranks(ranks), len(ranks)) == ranks).all()
 
 
+def test_ranks_of_two_bytes_are_masked_as_two_bytes():
+    for ranks, width in ([], 2), ([1, 65_535], 2), ([1, 65_536], 4):
+        control, _ = token_files.pack_ranks(np.array(ranks, np.uint32))
+        lengths = token_files.LENGTHS[np.frombuffer(control, np.uint8)]
+        assert token_files._width(lengths).itemsize == width
+
+
 def test_token_files_hold_all_ids_in_order(spark, edge):
     path = fresh_path(spark, "test-tokens")
     token_files.write_token_files(edge, path, byte_ids.vocabulary_path())
