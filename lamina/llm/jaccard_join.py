@@ -116,12 +116,21 @@ def shingle_counts(docs: DataFrame, width: int = SHINGLE) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"counter": own.astype(np.int32), "n": total[own]})
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "counter int, n long")
+    summed = counted.groupBy("counter").agg(F.sum("n").alias("n")).mapInArrow(_packed, "counters binary, sums binary")
     totals = np.zeros(COUNTERS, np.int64)
-    table = counted.groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTERS rows
-    totals[table["counter"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
+    for row in summed.collect():  # a few rows a task, of at most COUNTERS counters in all
+        totals[np.frombuffer(row.counters, np.int32)] = np.frombuffer(row.sums, np.int64)
     return totals
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counters and sums of a batch as the bytes of two arrays: the driver gets no row, and no pandas, per counter."""
+    for batch in batches:
+        if batch.num_rows:
+            counter, n = batch.column("counter").to_numpy(), batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_pydict({"counters": [counter.tobytes()], "sums": [n.tobytes()]})
+
+
 _LIGHT = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary())]
     + [("signature", pa.binary()), ("prefix", pa.list_(pa.int64()))]

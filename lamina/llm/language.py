@@ -124,6 +124,11 @@ def limits(near: list[np.ndarray], languages: list[str]) -> np.ndarray:
     return MARGIN * np.array(out)
 
 
+_CLUSTERS = pa.schema(
+    [("language", pa.string()), ("cluster", pa.int32()), ("centroid", pa.binary()), ("cosines", pa.binary())]
+)
+
+
 def fit(
     docs: DataFrame, training: Column, language: str = "lang", sample: int = SAMPLE, clusters: int = CLUSTERS
 ) -> Centroids | None:
@@ -164,28 +169,32 @@ def fit(
         taken = taken | ((F.col("language") == name) & (F.col("draw") < min(1.0, share / n)))
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, limit=_BYTES, rows=_ROWS):
-            found = _weighted(ngram_counts(texts_of(part)), shared.value).astype(np.float32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("language"), pa.array([v.tobytes() for v in found], pa.binary())], ["language", "vector"]
-            )
-
-    drawn = rows.filter(taken).select("language", "text").mapInArrow(vectors, "language string, vector binary")
-    drawn = sorted((r.language, bytes(r.vector)) for r in drawn.collect())  # about ``sample`` rows
+    def clustered(key: tuple, drawn: pa.Table) -> pa.Table:
+        """The centroids of one language; the order of the rows does not count."""
+        own = np.concatenate(
+            [
+                _weighted(ngram_counts(texts_of(part)), shared.value).astype(np.float32)
+                for part in slices(drawn.to_batches(), limit=_BYTES, rows=_ROWS)
+            ]
+        )
+        own = own[sorted(range(len(own)), key=lambda i: own[i].tobytes())].astype(np.float64)
+        own = own[np.linalg.norm(own, axis=1) > 0]
+        rows = []
+        if len(own):
+            found, member = cluster(own, clusters)
+            cosines = cosines_to_others(own, member, len(found))
+            rows = [(found[c].tobytes(), cosines[c].tobytes()) for c in range(len(found)) if (member == c).any()]
+        columns = [[key[0]] * len(rows), list(range(len(rows))), [r[0] for r in rows], [r[1] for r in rows]]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CLUSTERS)], schema=_CLUSTERS)
+
+    # A group is a language's share of the bounded sample; only its centroids and cosines reach the driver.
+    drawn = rows.filter(taken).select("language", "text").groupBy("language")
+    found = drawn.applyInArrow(clustered, "language string, cluster int, centroid binary, cosines binary")
     centroids, names, near = [], [], []
-    for name in sorted(sizes):
-        own = np.array([np.frombuffer(v, np.float32) for n, v in drawn if n == name], np.float64)
-        own = own[np.linalg.norm(own, axis=1) > 0] if len(own) else own
-        if not len(own):
-            continue
-        found, member = cluster(own, clusters)
-        cosines = cosines_to_others(own, member, len(found))
-        for c in range(len(found)):
-            if (member == c).any():
-                centroids.append(found[c])
-                names.append(name)
-                near.append(cosines[c])
+    for row in sorted(found.collect(), key=lambda r: (r.language, r.cluster)):
+        centroids.append(np.frombuffer(row.centroid))
+        names.append(row.language)
+        near.append(np.frombuffer(row.cosines))
     return Centroids(idf, np.array(centroids), names, limits(near, names)) if names else None
 
 

@@ -258,6 +258,20 @@ def test_classes_of_edge_rows(edge, none):
     assert jaccard_join.link_classes(none).count() == 0
 
 
+def test_shingle_counters_reach_the_driver_packed(spark, edge, monkeypatch):
+    """No pandas on the driver, and no row per counter; the counts are those of a plain version."""
+    kind, rows = type(edge), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "toPandas", None)
+    monkeypatch.setattr(kind, "collect", lambda self: rows.append(collect(self)) or rows[-1])
+    many = spark.range(300).select(F.expr("concat('w', id, ' x y ', id, ' z')").alias("text")).union(edge.select("text"))
+    found = jaccard_join.shingle_counts(many.repartition(3))
+    sets = jaccard_join._shingles([r.text or "" for r in collect(many)], jaccard_join.SHINGLE)
+    plain = np.bincount(jaccard_join._counter_of(np.concatenate(sets)), minlength=jaccard_join.COUNTERS)
+    assert (found == plain).all() and len(rows[0]) < 100 < np.count_nonzero(found)
+    assert not jaccard_join.shingle_counts(edge.limit(0)).any()
+
+
 def test_language_centroids(spark, folder, edge, none):
     found = queries.op4_language(spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id")
     share = found.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
@@ -291,6 +305,37 @@ def test_language_rejects_foreign_texts(spark, folder):
         assert unlearned.agg(F.avg(F.col("lid_rejected").cast("int"))).first()[0] > 0.98
 
 
+def test_the_driver_gets_centroids_and_no_text_vectors(spark, monkeypatch):
+    """Vectors of texts are clustered in tasks, and as a plain version on the driver clusters them."""
+    random = np.random.default_rng(8)
+    texts = {
+        (i, name): " ".join("".join(random.choice(list(letters), 5)) for _ in range(30))
+        for name, letters in (("aa", "abcdef"), ("zz", "uvwxyz"), ("", "klmnop"))
+        for i in range(40)
+    }
+    rows = [(i, text, name) for (i, name), text in texts.items()] + [(41, None, "aa"), (42, "1", "01"), (43, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kind, held = type(docs), []
+    collect = kind.collect
+
+    def counted(self):
+        found = collect(self)
+        held.append(sum(len(v) for r in found for v in r if isinstance(v, (bytes, bytearray))))
+        return found
+
+    monkeypatch.setattr(kind, "collect", counted)
+    model = language.fit(docs, F.lit(True))
+    assert max(held) < 3 * language.CLUSTERS * 8 * language.FEATURES + 8 * len(rows)
+    assert model.languages == sorted(model.languages) and set(model.languages) == {"aa", "zz", ""}
+    for name in ("aa", "zz", ""):
+        named = [text for _, text, own_name in rows if own_name == name and text]
+        own = language._weighted(language.ngram_counts(named), model.idf).astype(np.float32)
+        own = np.array(sorted(own, key=lambda v: v.tobytes()), np.float64)
+        plain, member = language.cluster(own, language.CLUSTERS)
+        plain = plain[[c for c in range(len(plain)) if (member == c).any()]]
+        assert np.allclose(model.vectors[[n == name for n in model.languages]], plain, atol=1e-9)
+
+
 def test_one_odd_row_does_not_move_the_limit():
     random = np.random.default_rng(7)
     rows = np.abs(random.normal(1, 0.2, (300, 50)))
