@@ -275,7 +275,9 @@ def search(
                     found = (query_ids[some][q], np.array(digests, np.uint64).view(np.int64)[q], v, scores)
                     yield pa.RecordBatch.from_pydict(dict(zip(("query_id", "query", "vec_id", "score"), found)))
 
-    near = stored.join(asked, "list").mapInArrow(compare, "query_id long, query long, vec_id long, score double")
+    # Spark sizes both sides by their files, where vectors that come once a list take next to no room: as
+    # a broadcast they would fill the driver.
+    near = stored.join(asked.hint("merge"), "list").mapInArrow(compare, "query_id long, query long, vec_id long, score double")
     # Two vectors under one id are two queries.
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lamina.llm import ann
+from tests.conftest import final_plan
 
 K = 5
 
@@ -56,3 +57,10 @@ def test_few_rows_are_all_found(spark):
     vectors, ids, _ = spread(spark, n=7)
     found = ann.search(vectors, F.col("vec_id") == 0, 20).collect()
     assert sorted(r.vec_id for r in found) == [1, 2, 3, 4, 5, 6]
+
+
+def test_queries_are_not_broadcast(spark):
+    """They come once for each of their lists, which their files do not show."""
+    vectors, _, _ = spread(spark)
+    plan = final_plan(ann.search(vectors, F.col("vec_id") % 20 == 0, K, sample=100))
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
