@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +33,40 @@ def typed_names(names: Sequence[str], declared: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, types.get(n.upper(), T.StringType())) for n in names])
 
 
+#: Files whose first lines are read at once.
+OPENED = 8
+
+
 def header_groups(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """The files below ``paths`` by the names in their header; empty files are left out.
 
-    One pass of the tasks over the first split of each file; a task keeps one line a file. The
-    driver gets a row per file, as it does when Spark lists them.
+    The driver lists the files and reads the first line of each, through the file systems and
+    codecs that Spark reads them with; no other line is read.
     """
-    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    firsts = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    files = sorted(spark.read.text(paths).inputFiles())
+    with ThreadPoolExecutor(OPENED) as pool:
+        headers = list(pool.map(partial(_first_line, spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in firsts.orderBy("file_path").collect():
-        names = tuple(next(csv.reader([row.header.removeprefix("\ufeff")]), ()))
-        groups.setdefault(names, []).append(row.file_path)
+    for file, header in zip(files, headers):
+        if header is not None:
+            names = tuple(next(csv.reader([header.removeprefix("\ufeff")]), ()))
+            groups.setdefault(names, []).append(file)
     return groups
 
 
+def _first_line(jvm, conf, file: str) -> str | None:
+    """The first line of a file given by its address; None when it is empty."""
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        line = jvm.org.apache.hadoop.io.Text()
+        found = jvm.org.apache.hadoop.util.LineReader(codec.createInputStream(stream) if codec else stream, conf)
+        return line.toString() if found.readLine(line) else None
+    finally:
+        stream.close()
+
+
 def read_csv_by_header(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = INVOICE.schema
 ) -> DataFrame:

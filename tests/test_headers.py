@@ -1,5 +1,6 @@
 """CSV folders whose files have different headers."""
 
+import gzip
 import os
 from datetime import datetime
 
@@ -61,3 +62,32 @@ def test_stream_takes_a_new_header_without_a_new_query(spark, inbox, warehouse):
     load.stop()
     found = {(r.INVOICENO, r.STOCKCODE, r.CHANNEL) for r in warehouse.scan(INVOICE).collect()}
     assert found == {("1", "s", None), ("2", "s", "web")}
+
+
+def test_headers_are_first_lines_however_tasks_sort(spark, inbox, settings):
+    """Several long files would share a task, whose rows do not fit its memory."""
+    settings(spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1")
+    conf, limit = spark._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    conf.set(limit, "50")
+    try:
+        for name in "edcba":
+            put(inbox, f"{name}.csv", f"INVOICENO,{name}", *[f"{i},{name}" for i in range(300)])
+        assert sorted(header_groups(spark, inbox)) == [("INVOICENO", name) for name in "abcde"]
+        assert read_csv_by_header(spark, inbox).count() == 1500
+    finally:
+        conf.remove(limit)
+
+
+def test_headers_of_compressed_and_split_files(spark, inbox, settings):
+    settings(spark__sql__files__maxPartitionBytes="1000")
+    put(inbox, "a.csv", "INVOICENO,QUANTITY", *[f"{i},1" for i in range(1000)])
+    put(inbox, "empty.csv", "")
+    put(inbox, "no-header.csv", "", "1,2")
+    with gzip.open(f"{inbox}/b.csv.gz", "wt") as file:
+        file.write("\ufeffINVOICENO,Größe\r\n1,2\r\n")
+    with gzip.open(f"{inbox}/empty.csv.gz", "wt"):
+        pass
+    groups = header_groups(spark, inbox)
+    assert {names: [f.rsplit("/", 1)[1] for f in files] for names, files in groups.items()} == {
+        ("INVOICENO", "QUANTITY"): ["a.csv"], ("INVOICENO", "Größe"): ["b.csv.gz"], (): ["no-header.csv"],
+    }
