@@ -17,6 +17,8 @@ from lamina.sources.csv_files import declared_names, header_schema, read_csv_by_
 from lamina.sources.tables import Warehouse, no_rows
 
 INTERVAL = "60 seconds"
+#: What Spark lists of files; their content is not asked for.
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def arriving_lines(spark: SparkSession, folder: str, schema: T.StructType = INVOICE.schema) -> DataFrame:
@@ -62,10 +64,10 @@ def start_folder_load(
     The stream says which files have arrived; each trigger reads them by their own headers, so a
     delivery with new columns neither fails the query nor needs a restart.
     """
-    arrived = wh.spark.readStream.text(folder).select("_metadata.file_path")
+    arrived = wh.spark.readStream.format("binaryFile").schema(FILES).load(folder).select("_metadata.file_path")
 
     def lines(batch: DataFrame) -> DataFrame:
-        files = [row.file_path for row in batch.distinct().collect()]  # one row per arrived file
+        files = [row.file_path for row in batch.collect()]  # one row per arrived file, nothing of which is read
         return read_csv_by_header(wh.spark, files, schema) if files else no_rows(wh.spark, schema)
 
     return _started(wh, arrived, lines, checkpoint, load_ts, grain, once)

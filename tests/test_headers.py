@@ -91,3 +91,13 @@ def test_headers_of_compressed_and_split_files(spark, inbox, settings):
     assert {names: [f.rsplit("/", 1)[1] for f in files] for names, files in groups.items()} == {
         ("INVOICENO", "QUANTITY"): ["a.csv"], ("INVOICENO", "Größe"): ["b.csv.gz"], (): ["no-header.csv"],
     }
+
+
+def test_arrived_files_are_listed_without_their_lines(spark, inbox, warehouse):
+    header = "INVOICENO,STOCKCODE,DESCRIPTION,QUANTITY,INVOICEDATE,UNITPRICE,CUSTOMERID,COUNTRY"
+    for name in "ab":
+        put(inbox, f"{name}.csv", header, *[f"{name}{i},s,d,2,12/1/2010 08:26,0.5,7,Norway" for i in range(20)])
+    load = start_folder_load(warehouse, inbox, fresh_path(spark, "stream"), STAMP, once=True)
+    load.awaitTermination()
+    assert sum(p["numInputRows"] for p in load.recentProgress) == 2
+    assert warehouse.scan(INVOICE).count() == 40
