@@ -64,6 +64,12 @@ def materialize(df: DataFrame, label: str, compression: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder on the shared file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)

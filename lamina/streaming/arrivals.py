@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lamina.operators.star import KEY
 from lamina.plans.layers import run_increment
 from lamina.schemas import INVOICE
+from lamina.session import discard, exists
 from lamina.sources.csv_files import declared_names, header_schema, read_csv_by_header, with_header
 from lamina.sources.tables import Warehouse, no_rows
 
@@ -42,10 +43,10 @@ def start_incremental_load(
 ) -> StreamingQuery:
     """Push each micro-batch through all layers.
 
-    A batch is written to a folder, which the next batch writes anew, and all layers work on
+    A batch is written to a folder for as long as it is worked on, and all layers work on
     this copy: each table drops the keys it knows. Loads are named by stream and batch, so a
-    batch that is repeated after a failure is taken by every table once, and gets the same
-    ids. ``checkpoint`` is a folder all executors share. ``once`` takes what is there and stops.
+    batch that is repeated after a failure is taken by every table once, from the same copy, and
+    gets the same ids. ``checkpoint`` is a folder all executors share. ``once`` takes what is there and stops.
     """
     return _started(wh, lines, lambda batch: batch, checkpoint, load_ts, grain, once)
 
@@ -85,10 +86,9 @@ def _started(
     stream = zlib.crc32(checkpoint.encode())
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        staged, found = f"{checkpoint}/staged", lines(batch)
-        found.write.mode("overwrite").parquet(staged, compression="zstd")
-        bronze = wh.spark.read.schema(found.schema).parquet(staged)
+        bronze = _staged(wh.spark, lines(batch), f"{checkpoint}/staged", batch_id)
         run_increment(wh, bronze, load_ts, grain, f"stream-{stream:08x}-{batch_id}")
+        discard(wh.spark, f"{checkpoint}/staged/{batch_id}")
 
     trigger = {"availableNow": True} if once else {"processingTime": INTERVAL}
     return (
@@ -97,3 +97,16 @@ def _started(
         .trigger(**trigger)
         .start()
     )
+
+
+def _staged(spark: SparkSession, found: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """The rows of a batch as a copy in ``folder``, the only one there.
+
+    A batch that is repeated after a failure has the same files, so its copy is taken as it is
+    where it was finished and has the same columns.
+    """
+    path = f"{folder}/{batch_id}"
+    if not exists(spark, f"{path}/_SUCCESS") or spark.read.parquet(path).schema.simpleString() != found.schema.simpleString():
+        discard(spark, folder)
+        found.write.parquet(path, compression="zstd")
+    return spark.read.schema(found.schema).parquet(path)

@@ -1,6 +1,9 @@
 import os
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
 from lamina.plans.layers import resolved_facts
 from lamina.plans.queries import _stored_bronze
 from lamina.operators.incremental import new_rows
@@ -70,3 +73,49 @@ def test_one_invoice_in_two_files(spark, folder, warehouse):
     arrivals.start_incremental_load(warehouse, stream, checkpoint, STAMP, once=True).awaitTermination()
     assert warehouse.scan(INVOICE).count() == lines.count()
     assert not [f for f in os.listdir(f"{checkpoint}/staged") if f.startswith("batch")]
+
+
+def test_a_repeated_batch_is_not_read_again(spark, folder, warehouse, monkeypatch):
+    """A cut-short batch is taken up from its copy; the next one has a copy of its own."""
+    lines = invoice_lines(spark, folder).filter("INVOICENO like '1%'")
+    inbox, checkpoint = fresh_path(spark, "inbox"), fresh_path(spark, "checkpoint")
+    whole_run, seen = arrivals.run_increment, []
+
+    def take():
+        stream = arrivals.arriving_lines(spark, f"{inbox}/*")
+        query = arrivals.start_incremental_load(warehouse, stream, checkpoint, STAMP, once=True)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            assert "lost here" in str(error)
+        return query.recentProgress
+
+    def broken(wh, bronze, *given):
+        seen.append((bronze.count(), bronze.inputFiles()))
+        if len(seen) == 1:
+            raise RuntimeError("lost here")
+        whole_run(wh, bronze, *given)
+
+    monkeypatch.setattr(arrivals, "run_increment", broken)
+    write_csv_folder(lines, f"{inbox}/first")
+    take()
+    assert sum(p["numInputRows"] for p in take()) == 0
+    assert seen[0] == seen[1] and seen[0][0] == lines.count()
+    assert not os.listdir(f"{checkpoint}/staged")
+    write_csv_folder(lines.withColumn("INVOICENO", F.concat("INVOICENO", F.lit("0000"))), f"{inbox}/second")
+    take()
+    assert seen[2][0] == lines.count() and not set(seen[2][1]) & set(seen[0][1])
+    assert warehouse.scan(INVOICE).count() == 2 * lines.count()
+
+
+def test_an_unfinished_copy_of_a_batch_is_written_anew(spark, tmp_path):
+    path, (few, more, wider) = f"{tmp_path}/staged", (
+        spark.range(2).selectExpr("id"), spark.range(3).selectExpr("id"), spark.range(4).selectExpr("id", "id as n")
+    )
+    assert arrivals._staged(spark, few, path, 0).count() == 2
+    assert arrivals._staged(spark, more, path, 0).count() == 2
+    os.remove(f"{path}/0/_SUCCESS")
+    assert arrivals._staged(spark, more, path, 0).count() == 3
+    assert arrivals._staged(spark, wider, path, 0).count() == 4
+    assert arrivals._staged(spark, few, path, 1).count() == 2
+    assert os.listdir(path) == ["1"]
