@@ -8,7 +8,7 @@ import pytest
 
 from lamina.schemas import INVOICE
 from lamina.session import fresh_path
-from lamina.sources.csv_files import header_groups, read_csv_by_header
+from lamina.sources.csv_files import header_groups, read_csv_by_header, write_csv_folder
 from lamina.streaming.arrivals import start_folder_load
 
 STAMP = datetime(2024, 1, 31, 12, 34)
@@ -101,3 +101,16 @@ def test_arrived_files_are_listed_without_their_lines(spark, inbox, warehouse):
     load.awaitTermination()
     assert sum(p["numInputRows"] for p in load.recentProgress) == 2
     assert warehouse.scan(INVOICE).count() == 40
+
+
+def test_csv_folders_are_compressed_fast(spark, inbox):
+    """Both folders hold the same rows; the level shows in the size."""
+    made = spark.range(0, 20_000, 1, 1).selectExpr("id as INVOICENO", "id % 97 as QUANTITY", "'Norway' as COUNTRY")
+    write_csv_folder(made, f"{inbox}/fast")
+    made.write.option("header", True).csv(f"{inbox}/slow", compression="gzip")
+    sizes, texts = {}, {}
+    for kind in ("fast", "slow"):
+        (name,) = [f for f in os.listdir(f"{inbox}/{kind}") if f.endswith(".csv.gz")]
+        sizes[kind] = os.path.getsize(f"{inbox}/{kind}/{name}")
+        texts[kind] = gzip.open(f"{inbox}/{kind}/{name}").read()
+    assert texts["fast"] == texts["slow"] and sizes["slow"] < sizes["fast"] < len(texts["fast"]) / 2
